@@ -1,0 +1,56 @@
+"""Every registered query against its DuckDB SQL on the generated tables."""
+
+from __future__ import annotations
+
+import math
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+QUERIES = contract.queries()
+ORACLE = contract.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no generated tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in Path(FOLDER).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return connection
+
+
+def _key(row):
+    return tuple((v is not None, str(v)) for v in row)
+
+
+def _same(left, right):
+    if isinstance(left, float) and isinstance(right, float):
+        return left == right and math.copysign(1, left) == math.copysign(1, right)
+    return type(left) is type(right) and left == right
+
+
+def test_every_query_has_check_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_check_sql(spark, duck, name):
+    result = QUERIES[name](spark, FOLDER)
+    columns = sorted(result.columns)
+    rows = sorted((tuple(r) for r in result.select(*(f"`{c}`" for c in columns)).collect()), key=_key)
+    relation = duck.sql(ORACLE[name])
+    assert sorted(relation.columns) == columns
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    expected = sorted(duck.sql(f"SELECT {quoted} FROM ({ORACLE[name]})").fetchall(), key=_key)
+    assert len(rows) == len(expected) > 0
+    differing = [
+        (got, want) for got, want in zip(rows, expected) if not all(map(_same, got, want))
+    ]
+    assert not differing, (columns, len(differing), differing[:5])
