@@ -11,18 +11,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-BLOCK = 32
+BLOCK_BITS = 5
+BLOCK = 1 << BLOCK_BITS
 
 
 def month_block(month: Column) -> Column:
     """Number of the block a month belongs to (0 for NULL, which sets no bit)."""
-    return F.coalesce(F.floor(month / F.lit(BLOCK)).cast("int"), F.lit(0))
+    return F.coalesce(F.shiftright(month, BLOCK_BITS), F.lit(0))
 
 
 def month_bits(month: Column) -> Column:
     """Aggregate: one bit for every month of the block that occurs."""
     one = F.lit(1).cast("bigint")
-    return F.bit_or(F.call_function("shiftleft", one, F.pmod(month, F.lit(BLOCK))))
+    return F.bit_or(F.call_function("shiftleft", one, month.bitwiseAND(F.lit(BLOCK - 1))))
 
 
 def months_from_bits(block: Column, bits: Column) -> Column:

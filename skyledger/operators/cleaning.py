@@ -8,7 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import null_sentinel, strip, try_number
+from ..functions.text import is_missing, strip, try_number
 from ..schema import FLIGHT_FIELDS, ROUTE_KEYS
 
 HEADER_CARRIER = "op_unique_carrier"
@@ -55,10 +55,8 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def _parsed(name: str, kind: str) -> Column:
-    if kind == "string":
-        return strip(F.col(name))
-    return try_number(null_sentinel(F.col(name)), kind)
+def _number(name: str, kind: str) -> Column:
+    return try_number(F.col(name), kind)
 
 
 def drop_malformed(df: DataFrame) -> DataFrame:
@@ -68,19 +66,12 @@ def drop_malformed(df: DataFrame) -> DataFrame:
     goes as well. A delay must be a number or be missing (empty or ``None``). Columns that
     are no flight columns pass through unchanged.
     """
-    unreadable_delay = reduce(
-        or_,
-        (
-            null_sentinel(F.col(c)).isNotNull() & try_number(F.col(c), "double").isNull()
-            for c in DELAYS
-        ),
-    )
-    readable = (
-        try_number(F.col("month"), "int").isNotNull()
-        & try_number(F.col("cancelled"), "double").isNotNull()
-        & ~unreadable_delay
-    )
-    return df.where(readable).withColumns({name: _parsed(name, kind) for name, _, kind in FLIGHT_FIELDS})
+    tests = [_number("month", "int").isNotNull(), _number("cancelled", "double").isNotNull()]
+    tests += [_number(c, "double").isNotNull() | is_missing(F.col(c)) for c in DELAYS]
+    typed = {
+        name: strip(F.col(name)) if kind == "string" else _number(name, kind) for name, _, kind in FLIGHT_FIELDS
+    }
+    return df.where(reduce(and_, tests)).withColumns(typed)
 
 
 def clean(df: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import round_half_even, round_half_up, safe_divide
 from ..operators import (
@@ -65,25 +65,29 @@ def carrier_ranking(
         flights = dedupe_rows(flights)
     pairs = pair_sums(flights, rules.missing, rules.carrier_delays, rules.airport_delays, rules.valid)
 
-    def mean(total: str, count: str):
+    def mean(total: str, count: str) -> Column:
         return safe_divide(F.col(total), F.col(count), rules.default)
 
+    # Quotients first and rounding in a second step, which then reads plain columns.
     means = pairs.withColumns(
         {
-            "dep_mean": rounded(mean("dep_sum", "dep_flights"), 2),
-            "arr_mean": rounded(mean("arr_sum", "arr_flights"), 2),
-            "rate": rounded(safe_divide(F.col("cancelled_sum"), F.col("cancelled_known")), 4),
+            "dep_mean": mean("dep_sum", "dep_flights"),
+            "arr_mean": mean("arr_sum", "arr_flights"),
+            "rate": safe_divide(F.col("cancelled_sum"), F.col("cancelled_known")),
         }
     )
+    means = means.withColumns(
+        {name: rounded(F.col(name), digits) for name, digits in (("dep_mean", 2), ("arr_mean", 2), ("rate", 4))}
+    )
     position = dense_position("dep_mean") if rules.dense else sequence_position("dep_mean")
     if airport_means is not None:
         ranked = join_airport_mean(means, airport_means).withColumn("position", position)
-        airport_mean = F.col("airport_mean")
     else:
         ranked = with_airport_sums(means.withColumn("position", position))
-        airport_mean = mean("airport_sum_all", "airport_flights_all")
+        ranked = ranked.withColumn("airport_mean", mean("airport_sum_all", "airport_flights_all"))
         if rules.airport_digits is not None:
-            airport_mean = rounded(airport_mean, rules.airport_digits)
+            ranked = ranked.withColumn("airport_mean", rounded(F.col("airport_mean"), rules.airport_digits))
+    ranked = ranked.withColumn("difference", F.col("dep_mean") - F.col("airport_mean"))
     return ranked.select(
         F.col("origin").alias("Aeroporto"),
         F.col("position").alias("Posizione_Classifica"),
@@ -92,7 +96,7 @@ def carrier_ranking(
         F.col("dep_mean").alias("Ritardo_Medio_Partenza"),
         F.col("arr_mean").alias("Ritardo_Medio_Arrivo"),
         F.col("rate").alias("Tasso_Cancellazione"),
-        rounded(F.col("dep_mean") - airport_mean, 2).alias("Differenza_Dalla_Media_APT"),
+        rounded(F.col("difference"), 2).alias("Differenza_Dalla_Media_APT"),
     )
 
 

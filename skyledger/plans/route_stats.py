@@ -51,22 +51,24 @@ def route_stats(flights: DataFrame, rules: RouteRules) -> DataFrame:
         cancelled = F.col("cancelled")
     sums = route_sums(flights, F.when(cancelled == 0, F.col(rules.delay)), cancelled)
 
-    shown = {
-        "Min": F.col("delay_min"),
-        "Max": F.col("delay_max"),
-        "Medio": rounded(safe_divide(F.col("delay_sum"), F.col("delay_flights")), 2),
-    }
+    # Quotients first and rounding in a second step, which then reads plain columns.
+    stats = sums.withColumns(
+        {
+            "delay_mean": safe_divide(F.col("delay_sum"), F.col("delay_flights")),
+            "rate": safe_divide(F.col("cancelled_sum"), F.col("cancelled_known")),
+        }
+    )
+    shown = {"Min": F.col("delay_min"), "Max": F.col("delay_max"), "Medio": rounded(F.col("delay_mean"), 2)}
     if rules.round_extremes:
         shown |= {name: rounded(shown[name], 2) for name in ("Min", "Max")}
     if rules.missing is not None:
         shown = {name: F.coalesce(value, F.lit(rules.missing)) for name, value in shown.items()}
-    rate = safe_divide(F.col("cancelled_sum"), F.col("cancelled_known"))
-    return sums.select(
+    return stats.select(
         F.col("op_unique_carrier").alias("Compagnia"),
         route_label(F.col("origin"), F.col("dest")).alias("Tratta"),
         F.col("flights").alias("Voli"),
         *(value.alias(name) for name, value in shown.items()),
-        rounded(rate, 4).alias("Cancellazioni"),
+        rounded(F.col("rate"), 4).alias("Cancellazioni"),
         (months_text(F.col("months")) if rules.text_months else F.col("months")).alias("Mesi"),
     )
 

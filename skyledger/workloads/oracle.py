@@ -31,21 +31,19 @@ def _whole(value: str) -> str:
 
 
 _VOLI_RAW = f"""WITH voli_raw AS (
-SELECT CASE WHEN l_orderkey % 83 = 0 THEN 'month' WHEN l_orderkey % 89 = 0 THEN ''
-            WHEN l_orderkey % 97 = 0 THEN 'x' ELSE CAST({_MONTH} AS VARCHAR) END AS month,
-       CASE WHEN l_orderkey % 109 = 0 THEN 'OP_Unique_Carrier' WHEN l_orderkey % 83 = 0 THEN 'op_unique_carrier'
-            WHEN l_orderkey % 107 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN ' ' || chr(9) || ' '
-            WHEN l_orderkey % 101 = 0 THEN '' WHEN l_partkey % 3 = 0 THEN '  ' || p_brand || chr(9)
-            ELSE p_brand END AS op_unique_carrier,
-       CASE WHEN l_partkey % 131 = 0 THEN '  ' WHEN l_partkey % 127 = 0 THEN NULL ELSE sn.n_name END AS origin,
-       CASE WHEN l_partkey % 139 = 0 THEN '' WHEN l_partkey % 137 = 0 THEN NULL ELSE cn.n_name END AS dest,
-       CASE WHEN l_orderkey % 71 = 0 THEN ' 7.5 ' WHEN l_orderkey % 61 = 0 THEN 'late'
-            WHEN l_orderkey % 59 = 0 THEN '' WHEN l_orderkey % 53 = 0 THEN 'None'
+SELECT CASE l_orderkey % 101 WHEN 1 THEN 'x' WHEN 2 THEN '' WHEN 3 THEN 'month'
+            ELSE CAST({_MONTH} AS VARCHAR) END AS month,
+       CASE l_orderkey % 101 WHEN 3 THEN 'op_unique_carrier' WHEN 4 THEN 'OP_Unique_Carrier'
+            WHEN 5 THEN ' ' || chr(9) || ' ' WHEN 6 THEN NULL
+            ELSE CASE WHEN l_partkey % 3 = 0 THEN '  ' || p_brand || chr(9) ELSE p_brand END
+            END AS op_unique_carrier,
+       CASE l_partkey % 101 WHEN 7 THEN NULL WHEN 8 THEN '  ' ELSE sn.n_name END AS origin,
+       CASE l_partkey % 101 WHEN 9 THEN NULL WHEN 10 THEN '' ELSE cn.n_name END AS dest,
+       CASE l_orderkey % 101 WHEN 11 THEN 'None' WHEN 12 THEN '' WHEN 13 THEN 'late' WHEN 14 THEN ' 7.5 '
             ELSE {_whole(_DEP)} END AS dep_delay,
-       CASE WHEN l_partkey % 67 = 0 THEN '1,5' WHEN l_partkey % 47 = 0 THEN '  '
-            WHEN l_partkey % 43 = 0 THEN 'None' ELSE {_whole(_ARR)} END AS arr_delay,
-       CASE WHEN l_orderkey % 79 = 0 THEN 'n/a' WHEN l_orderkey % 73 = 0 THEN ''
-            WHEN l_partkey % 2 = 0 THEN {_whole(_CANCELLED)}
+       CASE l_partkey % 101 WHEN 15 THEN ' None ' WHEN 16 THEN '  ' WHEN 17 THEN '1,5'
+            ELSE {_whole(_ARR)} END AS arr_delay,
+       CASE l_orderkey % 101 WHEN 18 THEN '' WHEN 19 THEN 'n/a' WHEN 20 THEN ' 0'
             ELSE CAST({_CANCELLED} AS VARCHAR) END AS cancelled {_FROM})
 """
 

@@ -17,28 +17,11 @@ def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFr
 def _joined(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with carrier, origin, dest, month and delay.
 
-    The small tables are joined to each other first, so that ``lineitem`` meets three
-    narrow sides. No broadcast is forced: the planner broadcasts a side that is below the
-    session's threshold and otherwise joins by shuffle, where adaptive execution splits a
-    part, supplier or order that many lines share.
+    Customers meet the orders before the more numerous line items do, and the nations come
+    last. No broadcast is forced: the planner broadcasts a table whose file size is below
+    the session's threshold and otherwise joins by shuffle, where adaptive execution
+    splits a part, supplier or order that very many lines share.
     """
-    nation = _table(spark, folder, "nation", "n_nationkey", "n_name")
-    suppliers = (
-        _table(spark, folder, "supplier", "s_suppkey", "s_nationkey")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("origin"))
-    )
-    customers = (
-        _table(spark, folder, "customer", "c_custkey", "c_nationkey")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_name").alias("dest"))
-    )
-    orders = (
-        _table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", F.to_date("o_orderdate").alias("ordered"), "dest")
-    )
-    parts = _table(spark, folder, "part", "p_partkey", F.col("p_brand").alias("op_unique_carrier"))
     lines = _table(
         spark,
         folder,
@@ -52,10 +35,20 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
         "l_linestatus",
         F.to_date("l_shipdate").alias("shipped"),
     )
+    suppliers = _table(spark, folder, "supplier", "s_suppkey", "s_nationkey")
+    parts = _table(spark, folder, "part", "p_partkey", F.col("p_brand").alias("op_unique_carrier"))
+    customers = _table(spark, folder, "customer", "c_custkey", "c_nationkey")
+    orders = _table(
+        spark, folder, "orders", "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("ordered")
+    ).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    origins = _table(spark, folder, "nation", F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin"))
+    dests = _table(spark, folder, "nation", F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest"))
     return (
         lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(origins, "s_nationkey")
+        .join(dests, "c_nationkey")
         .withColumn("month", F.month("ordered"))
         .withColumn("days", F.datediff("shipped", "ordered").cast("double"))
     )
@@ -89,17 +82,19 @@ def voli(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _spoiled(value: Column, key: Column, defects: dict[int, str | None]) -> Column:
-    """``value`` as text, replaced where ``key`` is divisible by one of the numbers."""
-    text = value
-    for divisor, defect in defects.items():
-        text = F.when(key % divisor == 0, F.lit(defect)).otherwise(text)
-    return text
+    """``value`` as text, replaced where ``key`` leaves one of the remainders modulo 101."""
+    remainder = key % 101
+    first, *others = defects.items()
+    text = F.when(remainder == first[0], F.lit(first[1]))
+    for number, defect in others:
+        text = text.when(remainder == number, F.lit(defect))
+    return text.otherwise(value)
 
 
 def voli_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The same flights as text, as a careless file would hold them.
 
-    No row is left out: depending on the order and part number, some fields of some rows
+    No row is left out: depending on the order or part number, some fields of some rows
     are made bad, blank, padded or missing, and some rows become header lines.
     """
     joined = _joined(spark, folder)
@@ -108,23 +103,17 @@ def voli_raw(spark: SparkSession, folder: str) -> DataFrame:
     def whole(value: Column) -> Column:
         return value.cast("bigint").cast("string")
 
-    carrier = F.concat(F.lit("  "), F.col("op_unique_carrier"), F.lit("\t"))
+    padded = F.concat(F.lit("  "), F.col("op_unique_carrier"), F.lit("\t"))
     return joined.select(
-        _spoiled(F.col("month").cast("string"), order, {97: "x", 89: "", 83: "month"}).alias("month"),
+        _spoiled(F.col("month").cast("string"), order, {1: "x", 2: "", 3: "month"}).alias("month"),
         _spoiled(
-            F.when(part % 3 == 0, carrier).otherwise(F.col("op_unique_carrier")),
+            F.when(part % 3 == 0, padded).otherwise(F.col("op_unique_carrier")),
             order,
-            {101: "", 103: " \t ", 107: None, 83: "op_unique_carrier", 109: "OP_Unique_Carrier"},
+            {3: "op_unique_carrier", 4: "OP_Unique_Carrier", 5: " \t ", 6: None},
         ).alias("op_unique_carrier"),
-        _spoiled(F.col("origin"), part, {127: None, 131: "  "}).alias("origin"),
-        _spoiled(F.col("dest"), part, {137: None, 139: ""}).alias("dest"),
-        _spoiled(whole(_dep_delay()), order, {53: "None", 59: "", 61: "late", 71: " 7.5 "}).alias("dep_delay"),
-        _spoiled(whole(_arr_delay()), part, {43: "None", 47: "  ", 67: "1,5"}).alias("arr_delay"),
-        _spoiled(
-            F.when(part % 2 == 0, _cancelled().cast("int").cast("string")).otherwise(
-                _cancelled().cast("string")
-            ),
-            order,
-            {73: "", 79: "n/a"},
-        ).alias("cancelled"),
+        _spoiled(F.col("origin"), part, {7: None, 8: "  "}).alias("origin"),
+        _spoiled(F.col("dest"), part, {9: None, 10: ""}).alias("dest"),
+        _spoiled(whole(_dep_delay()), order, {11: "None", 12: "", 13: "late", 14: " 7.5 "}).alias("dep_delay"),
+        _spoiled(whole(_arr_delay()), part, {15: " None ", 16: "  ", 17: "1,5"}).alias("arr_delay"),
+        _spoiled(_cancelled().cast("string"), order, {18: "", 19: "n/a", 20: " 0"}).alias("cancelled"),
     )
