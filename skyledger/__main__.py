@@ -1,4 +1,4 @@
-"""``spark-submit run.py`` / ``python -m skyledger``: run one job from the command line."""
+"""Run one job from the command line: ``spark-submit run.py ...`` or ``python -m skyledger ...``."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--output_path", required=True, help="folder to replace with the report")
     parser.add_argument("--format", help="report format; each analysis has a default")
     parser.add_argument("--means_path", help="airport means to look up, as written by airport_mean")
+    parser.add_argument("--preview", type=int, default=0, metavar="N", help="print N lines of the written report")
     args = parser.parse_args(arguments)
     formats = JOBS[args.analysis].formats
     if args.format and args.format not in formats:
@@ -22,6 +23,10 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(f"skyledger {args.analysis}")
     try:
         run_job(spark, args.analysis, args.input_path, args.output_path, args.format, args.means_path)
+        if args.preview:
+            # From the report, which is small, not by running the analysis a second time.
+            for line in spark.read.text(args.output_path).limit(args.preview).toLocalIterator():
+                print(line.value)
     finally:
         spark.stop()
 

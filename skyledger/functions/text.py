@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 from ..schema import MISSING_TEXTS
 
 WHITESPACE = " \t\n\r\x0b\x0c"
+# The least text that begins with neither a blank nor a control character.
+FIRST_VISIBLE = "!"
 
 
 def strip(value: Column) -> Column:
@@ -14,6 +16,11 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(WHITESPACE))
 
 
+def is_filled(value: Column) -> Column:
+    """Whether a text holds more than white space; its first byte nearly always tells."""
+    return (value >= FIRST_VISIBLE) | (strip(value) != "")
+
+
 def is_missing(value: Column) -> Column:
     """Whether a text is NULL or one of the texts that stand for a missing number."""
     return value.isNull() | strip(value).isin(*MISSING_TEXTS)

@@ -8,7 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import is_missing, strip, try_number
+from ..functions.text import is_filled, is_missing, strip, try_number
 from ..schema import FLIGHT_FIELDS, ROUTE_KEYS
 
 HEADER_CARRIER = "op_unique_carrier"
@@ -28,7 +28,7 @@ def filter_not_null(df: DataFrame, *columns: str) -> DataFrame:
 
 def filter_blank_keys(df: DataFrame, *columns: str) -> DataFrame:
     """Keep rows in which every column holds more than white space."""
-    return df.where(reduce(and_, (strip(F.col(c)) != "" for c in columns)))
+    return df.where(reduce(and_, (is_filled(F.col(c)) for c in columns)))
 
 
 def filter_embedded_header(df: DataFrame) -> DataFrame:
@@ -76,5 +76,4 @@ def drop_malformed(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:
     """Typed flights with usable keys: no header lines, malformed rows or blank keys."""
-    typed = filter_embedded_header(drop_malformed(df))
-    return filter_blank_keys(typed, *keys)
+    return df.transform(filter_blank_keys, *keys).transform(drop_malformed).transform(filter_embedded_header)

@@ -220,6 +220,9 @@ SELECT "Compagnia" || chr(9) || concat_ws(';', "Tratta", "Voli", coalesce(CAST("
 FROM stats""",
     "report_line_json": _VOLI + _ROUTE_ARR,
     "preview_top10": _VOLI + _ROUTE_DEP_FLAT + ' ORDER BY "Compagnia", "Tratta" LIMIT 10',
+    "temp_view_sql": f"""{_VOLI} SELECT origin, month, count(*) AS flights,
+count(CASE WHEN cancelled = 1 THEN 1 END) AS cancelled_flights, max({_OPERATED_DEP}) AS worst_departure
+FROM voli GROUP BY origin, month""",
     "project_flights": _VOLI
     + "SELECT origin, op_unique_carrier AS carrier, dep_delay, arr_delay, cancelled FROM voli",
     "drop_malformed": _VOLI_RAW + _TYPED,

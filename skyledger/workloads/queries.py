@@ -154,6 +154,18 @@ def preview_top10(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.preview(stats, 10, "Compagnia", "Tratta")
 
 
+@_query
+def temp_view_sql(spark: SparkSession, folder: str) -> DataFrame:
+    voli(spark, folder).createOrReplaceTempView("voli")
+    return spark.sql(
+        """
+        SELECT origin, month, count(*) AS flights, count_if(cancelled = 1) AS cancelled_flights,
+               max(dep_delay) FILTER (WHERE cancelled = 0) AS worst_departure
+        FROM voli GROUP BY origin, month
+        """
+    )
+
+
 # ---- projections and filters
 
 

@@ -79,6 +79,13 @@ def test_text_functions(spark):
     ]
 
 
+def test_strip_equals_python_on_ascii_white_space(spark):
+    values = ["", " ", "a", " a", "a\t", "\n a b \r\x0b\x0c", "\x01", "\x01a ", "è ", " é", "a\xa0", "-", '"q" ']
+    blank = " \t\n\r\x0b\x0c"
+    assert column(spark, values, "string", fn.strip) == [v.strip(blank) for v in values]
+    assert column(spark, values, "string", fn.is_filled) == [v.strip(blank) != "" for v in values]
+
+
 def test_months_keep_any_whole_number(spark):
     months = [1, 12, 12, 0, 31, 32, 99, -1, -33, 2147483647, None]
     df = spark.createDataFrame([(m,) for m in months], "month int")

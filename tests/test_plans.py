@@ -7,7 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from skyledger import RANKING_PRESETS, ROUTE_PRESETS, ranking_preset, route_preset
+from skyledger import RANKING_PRESETS, ROUTE_PRESETS, ranking_preset, read_flights, route_preset
 
 FOLDER = "/root/testdata/sf0.001"
 FLIGHT = (
@@ -90,3 +90,17 @@ def test_same_result_when_nothing_is_small_enough_to_broadcast(spark, conf, name
     shuffled = query(spark, FOLDER)
     assert "BroadcastHashJoin" not in plan(shuffled)
     assert sorted(map(str, shuffled.collect())) == broadcast
+
+
+@pytest.mark.parametrize("name", [*ROUTE_PRESETS, *RANKING_PRESETS])
+def test_generated_code_can_be_compiled(spark, conf, tmp_path, name):
+    """The JVM leaves methods of more than 8000 bytes to its interpreter, many times slower."""
+    conf("spark.sql.adaptive.enabled", "false")
+    header = "month,op_unique_carrier,origin,dest,dep_delay,arr_delay,cancelled,other"
+    (tmp_path / "f.csv").write_text(f"{header}\n1,AA,JFK,LAX,5.0,3.0,0,z\n")
+    flights = read_flights(spark, str(tmp_path / "f.csv"), keep_rest=name == "ranking_zero_dedupe")
+    report = route_preset if name in ROUTE_PRESETS else ranking_preset
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    code = getattr(debug, "MODULE$").codegenString(report(flights, name)._jdf.queryExecution().executedPlan())
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
