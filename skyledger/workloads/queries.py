@@ -213,6 +213,11 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     return ops.pair_sums(voli(spark, folder), missing="zero")
 
 
+def _rounded_means(pairs: DataFrame) -> DataFrame:
+    means = ops.airport_means(pairs, default=0.0)
+    return means.withColumn("airport_mean", fn.round_half_even(F.col("airport_mean"), 2))
+
+
 def _with_difference(joined: DataFrame) -> DataFrame:
     mean = fn.round_half_even(fn.safe_divide(F.col("dep_sum"), F.col("dep_flights"), 0.0), 2)
     return joined.select(
@@ -227,17 +232,15 @@ def _with_difference(joined: DataFrame) -> DataFrame:
 @_query
 def join_airport_mean(spark: SparkSession, folder: str) -> DataFrame:
     pairs = write_and_reread(_pairs(spark, folder), "pairs")
-    means = ops.airport_means(pairs, default=0.0)
-    rounded = means.withColumn("airport_mean", fn.round_half_even(F.col("airport_mean"), 2))
-    return _with_difference(ops.join_airport_mean(pairs, rounded))
+    return _with_difference(ops.join_airport_mean(pairs, _rounded_means(pairs)))
 
 
 @_query
 def join_side_table(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = write_and_reread(_pairs(spark, folder), "pairs")
     path = scratch_folder(spark, "airport_means")
-    means = ops.operated_airport_means(voli(spark, folder))
-    sinks.write_airport_means(means.withColumn("airport_mean", fn.round_half_even(F.col("airport_mean"), 2)), path)
-    return _with_difference(ops.join_airport_mean(_pairs(spark, folder), sources.read_airport_means(spark, path)))
+    sinks.write_airport_means(_rounded_means(pairs), path)
+    return _with_difference(ops.join_airport_mean(pairs, sources.read_airport_means(spark, path)))
 
 
 # ---- aggregates
