@@ -28,8 +28,9 @@ def month_bits(month: Column) -> Column:
 
 def months_from_bits(block: Column, bits: Column) -> Column:
     """The months of one block as an ascending int array."""
+    known = F.coalesce(bits, F.lit(0).cast("bigint"))
     slots = F.sequence(F.lit(0), F.lit(BLOCK - 1))
-    present = F.filter(slots, lambda slot: F.call_function("getbit", F.coalesce(bits, F.lit(0).cast("bigint")), slot) == 1)
+    present = F.filter(slots, lambda slot: F.call_function("getbit", known, slot) == 1)
     return F.transform(present, lambda slot: (block * F.lit(BLOCK) + slot).cast("int"))
 
 

@@ -50,22 +50,30 @@ def resolve_columns(df: DataFrame, keep_rest: bool = False) -> DataFrame:
     return numbered.select(*picked)
 
 
-def read_flights_text(spark: SparkSession, path: str, keep_rest: bool = False) -> DataFrame:
+def read_flights_text(
+    spark: SparkSession, path: str, keep_rest: bool = False, header: Sequence[str] | None = None
+) -> DataFrame:
     """All lines of the file(s) as text columns, header lines included.
 
-    The names come from the first line. Header lines are not skipped by position, because
-    a file that was cut into parts has one only in its first part; ``clean`` drops them by
-    content wherever they stand. The columns are text, so that a bad number costs its row
-    and not the job, and no pass over the data is spent on type inference.
+    ``header`` names the fields; without it the names come from the first line of the
+    first file. Header lines are not skipped by position, because a file that was cut into
+    parts has one only in its first part; ``clean`` drops them by content wherever they
+    stand. The columns are text, so that a bad number costs its row and not the job, and
+    no pass over the data is spent on type inference.
     """
-    header = spark.read.options(header=True, inferSchema=False, **DIALECT).csv(path).columns
+    if header is None:
+        header = spark.read.options(header=True, inferSchema=False, **DIALECT).csv(path).columns
     numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
     lines = spark.read.options(header=False, **DIALECT).schema(numbered).csv(path)
     return resolve_columns(lines.toDF(*header), keep_rest)
 
 
 def read_flights(
-    spark: SparkSession, path: str, keys: Sequence[str] = ROUTE_KEYS, keep_rest: bool = False
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = ROUTE_KEYS,
+    keep_rest: bool = False,
+    header: Sequence[str] | None = None,
 ) -> DataFrame:
     """Typed, cleaned flights; see ``operators.cleaning.clean`` for what is dropped."""
-    return clean(read_flights_text(spark, path, keep_rest), keys)
+    return clean(read_flights_text(spark, path, keep_rest, header), keys)

@@ -276,11 +276,13 @@ ORDER BY origin, dep_mean ASC NULLS FIRST, carrier""",
 {_or_zero("arr_delay")} AS arr_delay FROM voli""",
     "null_sentinel": f"""{_VOLI_RAW} SELECT {_sentinel("dep_delay")} AS dep_delay,
 {_sentinel("arr_delay")} AS arr_delay FROM voli_raw""",
-    "try_cast_numeric": f"""{_VOLI_RAW} SELECT TRY_CAST({_strip("month")} AS INTEGER) AS month,
+    "try_cast_numeric": f"""{_VOLI_RAW}
+SELECT coalesce(TRY_CAST({_strip("month")} AS INTEGER), -1) AS month_or_minus_one,
 TRY_CAST({_strip("dep_delay")} AS DOUBLE) AS dep_delay,
-CAST(TRY_CAST({_strip("cancelled")} AS DOUBLE) AS INTEGER) AS cancelled FROM voli_raw""",
+TRY_CAST({_strip("cancelled")} AS DOUBLE) AS cancelled FROM voli_raw""",
     "trim_lower": f"""{_VOLI_RAW} SELECT lower({_strip("op_unique_carrier")}) AS carrier,
-position('unique' IN lower(op_unique_carrier)) > 0 AS is_header, {_strip("origin")} AS origin FROM voli_raw""",
+coalesce(position('unique' IN lower(op_unique_carrier)) > 0, false) AS is_header,
+{_strip("origin")} AS origin FROM voli_raw""",
     "json_struct_roundtrip": _VOLI + "SELECT * FROM voli",
     "split_delimited": f"""{_VOLI} SELECT origin, op_unique_carrier AS carrier, {_or_zero("dep_delay")} AS dep_delay,
 {_or_zero("arr_delay")} AS arr_delay, cancelled FROM voli""",

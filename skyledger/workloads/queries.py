@@ -428,10 +428,12 @@ def null_sentinel(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def try_cast_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    return voli_raw(spark, folder).select(
-        fn.try_number(F.col("month"), "int").alias("month"),
+    raw = voli_raw(spark, folder)
+    month = fn.try_number(F.col("month"), "int")
+    return raw.select(
+        F.coalesce(month, F.lit(-1)).alias("month_or_minus_one"),
         fn.try_number(F.col("dep_delay"), "double").alias("dep_delay"),
-        fn.try_number(F.col("cancelled"), "double").cast("int").alias("cancelled"),
+        fn.try_number(F.col("cancelled"), "double").alias("cancelled"),
     )
 
 
@@ -439,7 +441,9 @@ def try_cast_numeric(spark: SparkSession, folder: str) -> DataFrame:
 def trim_lower(spark: SparkSession, folder: str) -> DataFrame:
     carrier = F.lower(fn.strip(F.col("op_unique_carrier")))
     return voli_raw(spark, folder).select(
-        carrier.alias("carrier"), carrier.contains("unique").alias("is_header"), fn.strip(F.col("origin")).alias("origin")
+        carrier.alias("carrier"),
+        F.coalesce(carrier.contains("unique"), F.lit(False)).alias("is_header"),
+        fn.strip(F.col("origin")).alias("origin"),
     )
 
 
@@ -452,8 +456,8 @@ def json_struct_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def split_delimited(spark: SparkSession, folder: str) -> DataFrame:
-    fields = ("op_unique_carrier", F.coalesce("dep_delay", F.lit(0.0)), F.coalesce("arr_delay", F.lit(0.0)), "cancelled")
-    line = F.concat(F.col("origin"), F.lit("\t"), F.concat_ws(";", *fields))
+    delays = (F.coalesce(c, F.lit(0.0)) for c in ("dep_delay", "arr_delay"))
+    line = F.concat(F.col("origin"), F.lit("\t"), F.concat_ws(";", "op_unique_carrier", *delays, "cancelled"))
     lines = voli(spark, folder).select(F.split(line, "\t").alias("parts"))
     values = lines.select(F.col("parts")[0].alias("origin"), F.split(F.col("parts")[1], ";").alias("v"))
     return values.select(

@@ -73,6 +73,12 @@ def test_file_cut_in_parts_loses_no_line(spark, tmp_path):
     assert flights_of(spark, tmp_path) == [FLIGHT] * 80
 
 
+def test_names_may_be_given(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("JFK,LAX,1,AA,3,5,0\n" * 3)
+    names = ["origin", "dest", "month", "op_unique_carrier", "arr_delay", "dep_delay", "cancelled"]
+    assert flights_of(spark, tmp_path / "f.csv", header=names) == [FLIGHT] * 3
+
+
 def test_short_and_bad_lines_are_dropped(spark, tmp_path):
     bad = [
         line()[:40],
@@ -214,11 +220,16 @@ def test_job_refuses_what_it_cannot_do(spark, tmp_path):
 def test_command_line(tmp_path):
     root = Path(__file__).resolve().parent.parent
     out = tmp_path / "report"
-    command = [sys.executable, str(root / "run.py"), "ranking_zero_excl", "--input_path", HAND, "--output_path", str(out)]
-    done = subprocess.run([*command, "--preview", "2"], check=True, capture_output=True, timeout=300, cwd=root, text=True)
+    command = [sys.executable, str(root / "run.py"), "ranking_zero_excl", "--preview", "2"]
+    command += ["--input_path", HAND, "--output_path", str(out)]
+    done = subprocess.run(command, check=True, capture_output=True, timeout=300, cwd=root, text=True)
     assert len([text for text in done.stdout.splitlines() if "\t" in text]) == 2
     lines = [text for part in sorted(out.glob("part-*")) for text in part.read_text().splitlines()]
-    assert lines[:3] == ["BOS\t1;DD;1;7.0;1.0;0.0;0.0", "BOS\t2;EE, Inc;1;7.0;2.0;0.0;0.0", "JFK\t1;CC;1;0.0;0.0;1.0;-4.4"]
+    assert lines[:3] == [
+        "BOS\t1;DD;1;7.0;1.0;0.0;0.0",
+        "BOS\t2;EE, Inc;1;7.0;2.0;0.0;0.0",
+        "JFK\t1;CC;1;0.0;0.0;1.0;-4.4",
+    ]
 
 
 def test_scratch_tables_lie_in_the_shared_folder(spark):

@@ -64,6 +64,13 @@ def test_ranking_shuffles_pairs_then_airports(conf, flights, name):
     assert text.count("FileScan") == 1
 
 
+def test_dedupe_meets_copies_before_the_shuffle(conf, flights):
+    conf("spark.sql.adaptive.enabled", "false")
+    text = plan(ranking_preset(flights, "ranking_zero_dedupe"))
+    assert len(exchanges(text)) == 3 and text.count("FileScan") == 1
+    assert "HashAggregate(keys=[month" in text[text.rindex("Exchange") :]
+
+
 @pytest.mark.parametrize("name", ROUTE_PRESETS)
 def test_route_stats_combine_rows_in_the_hash_aggregate_first(conf, flights, name):
     conf("spark.sql.adaptive.enabled", "false")
