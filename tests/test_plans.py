@@ -68,7 +68,7 @@ def test_dedupe_meets_copies_before_the_shuffle(conf, flights):
     conf("spark.sql.adaptive.enabled", "false")
     text = plan(ranking_preset(flights, "ranking_zero_dedupe"))
     assert len(exchanges(text)) == 3 and text.count("FileScan") == 1
-    assert "HashAggregate(keys=[month" in text[text.rindex("Exchange") :]
+    assert re.search(r"HashAggregate\(keys=\[.*\], functions=\[\]", text[text.rindex("Exchange") :])
 
 
 @pytest.mark.parametrize("name", ROUTE_PRESETS)
