@@ -44,11 +44,11 @@ def route_stats(flights: DataFrame, rules: RouteRules) -> DataFrame:
     """One report row per carrier and route."""
     rounded = round_half_even if rules.half_even else round_half_up
     flights = filter_not_null(flights, *ROUTE_KEYS)
+    cancelled = F.col("cancelled")
     if rules.whole_flag:
-        flights = filter_not_null(flights, "cancelled")
-        cancelled = (F.col("cancelled").cast("int") == 1).cast("int")
-    else:
-        cancelled = F.col("cancelled")
+        whole = cancelled.try_cast("int")
+        flights = flights.where(whole.isNotNull())
+        cancelled = (whole == 1).cast("int")
     sums = route_sums(flights, F.when(cancelled == 0, F.col(rules.delay)), cancelled)
 
     # Quotients first and rounding in a second step, which then reads plain columns.

@@ -189,6 +189,16 @@ def test_missing_flag(spark):
     assert ranking_preset(flights, "ranking_zero_excl").first().Ritardo_Medio_Partenza == 6.0
 
 
+def test_flag_that_is_no_whole_number(spark):
+    flights = spark.createDataFrame(
+        [(1, "AA", "JFK", "LAX", 4.0, 2.0, flag) for flag in (float("nan"), float("inf"), 1.9, 0.5, 2.0)],
+        "month int, op_unique_carrier string, origin string, dest string, "
+        "dep_delay double, arr_delay double, cancelled double",
+    )
+    (row,) = route_preset(flights, "route_stats_arr").collect()
+    assert (row.Voli, row.Medio, row.Cancellazioni) == (3, 2.0, 0.3333)
+
+
 def test_null_keys_belong_to_no_group(spark, flights):
     nulls = flights.limit(5).withColumns({key: F.lit(None).cast("string") for key in PAIR_KEYS})
     for name in RANKING_PRESETS:
