@@ -7,6 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from hand import HAND_CSV  # noqa: E402
 from skyledger.session import build_session  # noqa: E402
 
 
@@ -25,3 +26,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def hand_csv(tmp_path_factory):
+    path = tmp_path_factory.mktemp("hand") / "hand.csv"
+    path.write_text(HAND_CSV)
+    return str(path)

@@ -18,8 +18,6 @@ from skyledger.session import scratch_folder, write_and_reread
 from skyledger.sinks import write_airport_means
 from skyledger.sources import read_airport_means, resolve_columns
 
-HAND = str(Path(__file__).parent / "data" / "hand.csv")
-
 
 def source_line(**values):
     fields = [""] * 35
@@ -133,9 +131,9 @@ def test_whole_row_dedupe_looks_at_every_column(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["JFK\t1;AA;2;5.0;3.0;0.0;0.0"]
 
 
-def test_side_table(spark, tmp_path):
+def test_side_table(spark, tmp_path, hand_csv):
     path = str(tmp_path / "means")
-    means = operated_airport_means(read_flights(spark, HAND))
+    means = operated_airport_means(read_flights(spark, hand_csv))
     write_airport_means(means, path)
     assert sorted(map(tuple, read_airport_means(spark, path).collect())) == [("BOS", 7.0), ("JFK", 4.4)]
     with pytest.raises(AnalysisException):
@@ -143,20 +141,20 @@ def test_side_table(spark, tmp_path):
     assert read_airport_means(spark, str(tmp_path / "nothing"), missing_ok=True).count() == 0
 
 
-def test_ranking_with_saved_means_equals_ranking_without(spark, tmp_path):
+def test_ranking_with_saved_means_equals_ranking_without(spark, tmp_path, hand_csv):
     for job, ranking in (("airport_mean", "ranking_zero_excl"), ("airport_mean_unrounded", "ranking_zero_incl")):
         means, one, two = (str(tmp_path / f"{ranking}-{part}") for part in ("means", "one", "two"))
-        run_job(spark, job, HAND, means)
-        run_job(spark, ranking, HAND, one)
-        run_job(spark, ranking, HAND, two, means_path=means)
+        run_job(spark, job, hand_csv, means)
+        run_job(spark, ranking, hand_csv, one)
+        run_job(spark, ranking, hand_csv, two, means_path=means)
         assert spark.read.text(one).collect() == spark.read.text(two).collect()
 
 
 @pytest.mark.parametrize("name", RANKING_PRESETS)
-def test_ranking_jobs(spark, tmp_path, name):
+def test_ranking_jobs(spark, tmp_path, name, hand_csv):
     keep_rest = RANKING_PRESETS[name].dedupe
-    expected = ranking_preset(read_flights(spark, HAND, PAIR_KEYS, keep_rest), name)
-    run_job(spark, name, HAND, str(tmp_path / "nested"), fmt="nested")
+    expected = ranking_preset(read_flights(spark, hand_csv, PAIR_KEYS, keep_rest), name)
+    run_job(spark, name, hand_csv, str(tmp_path / "nested"), fmt="nested")
     nested = spark.read.schema(nest(expected, "Aeroporto", RANKING_LIST).schema).json(str(tmp_path / "nested"))
     assert nested.count() == 2
     back = unnest(nested, "Aeroporto", RANKING_LIST)
@@ -164,22 +162,22 @@ def test_ranking_jobs(spark, tmp_path, name):
     places = [(r.Posizione_Classifica, r.Compagnia) for r in back.where("Aeroporto = 'JFK'").orderBy("index").collect()]
     assert places == sorted(places)
 
-    run_job(spark, name, HAND, str(tmp_path / "text"), fmt="text")
+    run_job(spark, name, hand_csv, str(tmp_path / "text"), fmt="text")
     lines = [r.value for r in spark.read.text(str(tmp_path / "text")).collect()]
     assert len(lines) == 5
     number = r"(-?\d+\.\d+|NULL)"
     assert all(re.fullmatch(rf"\w+\t\d+;[\w, ]+;\d+(;{number}){{4}}", text) for text in lines)
 
 
-def test_route_text(spark, tmp_path):
-    run_job(spark, "route_stats_arr", HAND, str(tmp_path / "text"), fmt="text")
+def test_route_text(spark, tmp_path, hand_csv):
+    run_job(spark, "route_stats_arr", hand_csv, str(tmp_path / "text"), fmt="text")
     lines = {r.value for r in spark.read.text(str(tmp_path / "text")).collect()}
     assert "AA\tJFK -> LAX;4;-10.0;5.0;0.0;0.25;[1,2,10]" in lines
     assert "BB\tJFK -> LAX;2;NULL;NULL;NULL;0.5;[3]" in lines
 
 
-def test_route_json_text(spark, tmp_path):
-    run_job(spark, "route_stats_arr", HAND, str(tmp_path / "text"), fmt="json_text")
+def test_route_json_text(spark, tmp_path, hand_csv):
+    run_job(spark, "route_stats_arr", hand_csv, str(tmp_path / "text"), fmt="json_text")
     records = [r.value.split("\t") for r in spark.read.text(str(tmp_path / "text")).collect()]
     parsed = {(carrier, json.loads(text)["Tratta"]): json.loads(text) for carrier, text in records}
     assert parsed["AA", "JFK -> LAX"] == {
@@ -190,9 +188,9 @@ def test_route_json_text(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", [n for n, r in ROUTE_PRESETS.items() if not r.text_months])
-def test_route_nested(spark, tmp_path, name):
-    expected = route_preset(read_flights(spark, HAND), name)
-    run_job(spark, name, HAND, str(tmp_path / "nested"))
+def test_route_nested(spark, tmp_path, name, hand_csv):
+    expected = route_preset(read_flights(spark, hand_csv), name)
+    run_job(spark, name, hand_csv, str(tmp_path / "nested"))
     nested = spark.read.schema(nest(expected, "Compagnia", ROUTE_LIST).schema).json(str(tmp_path / "nested"))
     assert {r.Compagnia: len(r[ROUTE_LIST]) for r in nested.collect()} == {
         "AA": 1, "BB": 2, "CC": 1, "DD": 1, "EE, Inc": 1,
@@ -201,27 +199,27 @@ def test_route_nested(spark, tmp_path, name):
     assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_route_csv_replaces_the_output(spark, tmp_path):
+def test_route_csv_replaces_the_output(spark, tmp_path, hand_csv):
     out = str(tmp_path / "csv")
     for _ in range(2):
-        run_job(spark, "route_stats_dep_flat", HAND, out)
+        run_job(spark, "route_stats_dep_flat", hand_csv, out)
     written = spark.read.options(header=True, escape='"').csv(out)
     assert written.count() == 6
     assert {(r.Compagnia, r.Mesi) for r in written.collect()} >= {("AA", "1,10,2"), ("EE, Inc", "6")}
 
 
-def test_job_refuses_what_it_cannot_do(spark, tmp_path):
+def test_job_refuses_what_it_cannot_do(spark, tmp_path, hand_csv):
     with pytest.raises(ValueError, match="no airport means"):
-        run_job(spark, "route_stats_arr", HAND, str(tmp_path / "x"), means_path=HAND)
+        run_job(spark, "route_stats_arr", hand_csv, str(tmp_path / "x"), means_path=hand_csv)
     with pytest.raises(KeyError):
-        run_job(spark, "route_stats_arr", HAND, str(tmp_path / "x"), fmt="tsv")
+        run_job(spark, "route_stats_arr", hand_csv, str(tmp_path / "x"), fmt="tsv")
 
 
-def test_command_line(tmp_path):
+def test_command_line(tmp_path, hand_csv):
     root = Path(__file__).resolve().parent.parent
     out = tmp_path / "report"
     command = [sys.executable, str(root / "run.py"), "ranking_zero_excl", "--preview", "2"]
-    command += ["--input_path", HAND, "--output_path", str(out)]
+    command += ["--input_path", hand_csv, "--output_path", str(out)]
     done = subprocess.run(command, check=True, capture_output=True, timeout=300, cwd=root, text=True)
     assert len([text for text in done.stdout.splitlines() if "\t" in text]) == 2
     lines = [text for part in sorted(out.glob("part-*")) for text in part.read_text().splitlines()]

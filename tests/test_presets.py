@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,13 +9,12 @@ from skyledger import RANKING_PRESETS, ROUTE_PRESETS, ranking_preset, read_fligh
 from skyledger.schema import PAIR_KEYS, RANKING_REPORT, ROUTE_REPORT
 from skyledger.workloads.voli import voli
 
-HAND = str(Path(__file__).parent / "data" / "hand.csv")
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def hand(spark):
-    return read_flights(spark, HAND).cache()
+def hand(spark, hand_csv):
+    return read_flights(spark, hand_csv).cache()
 
 
 def rows(df, columns):
@@ -175,6 +172,13 @@ def test_one_hot_airport_gives_the_same_result(spark, flights):
     assert hub.Voli_Operati == hot.count() and hub.Ritardo_Medio_Arrivo is None
 
 
+def test_a_row_copied_very_often_counts_once(spark, flights):
+    copies = spark.range(200_000).select(F.lit(None).alias("id")).crossJoin(F.broadcast(flights.limit(1))).drop("id")
+    assert rows(ranking_preset(flights.unionAll(copies), "ranking_zero_dedupe"), RANKING_REPORT) == rows(
+        ranking_preset(flights, "ranking_zero_dedupe"), RANKING_REPORT
+    )
+
+
 def test_missing_flag(spark):
     """Each variant has its own reading of a flight without a cancellation flag."""
     flights = spark.createDataFrame(
