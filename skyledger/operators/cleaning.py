@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import is_filled, is_missing, strip, try_number
 from ..schema import FLIGHT_FIELDS, ROUTE_KEYS
 
+# Fixed value: what stands in the carrier column of a header line.
 HEADER_CARRIER = "op_unique_carrier"
 DELAYS = ("dep_delay", "arr_delay")
 
