@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +21,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the workers, which need not have it installed."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_skyledger_sent", False):
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="run-")) / "skyledger.zip"  # on the driver, which serves it
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._skyledger_sent = True
+    return df.mapInArrow(function, schema)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -8,13 +8,20 @@ from skyledger.llm.chat import chat_digests, format_chats
 from skyledger.llm.common import table
 from skyledger.llm.mixing import mix_sources
 from skyledger.llm.oracle import ORACLE  # noqa: F401
+from skyledger.llm.packing import pack_documents
 from skyledger.llm.sharding import shard_by_bytes
+from skyledger.llm.token_files import token_file_digests
+from skyledger.llm.tokens import tokenizer_path
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file_digests(spark, table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame(
@@ -24,12 +31,18 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_digests(format_chats(turns.union(more)))
 
 
+def op9_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 def op10_shard_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=8)
 
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_token_files": op2_token_files,
     "op5_chat_format": op5_chat_format,
+    "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
 }
