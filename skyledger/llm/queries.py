@@ -10,6 +10,7 @@ from skyledger.llm.mixing import mix_sources
 from skyledger.llm.oracle import ORACLE  # noqa: F401
 from skyledger.llm.packing import pack_documents
 from skyledger.llm.sharding import shard_by_bytes
+from skyledger.llm.simhash import near_duplicates
 from skyledger.llm.token_files import token_file_digests
 from skyledger.llm.tokens import tokenizer_path
 
@@ -31,6 +32,10 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_digests(format_chats(turns.union(more)))
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
+
+
 def op9_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
     "op5_chat_format": op5_chat_format,
+    "op8_simhash": op8_simhash,
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
 }
