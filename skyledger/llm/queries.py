@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.chat import chat_digests, format_chats
 from skyledger.llm.common import table
+from skyledger.llm.decision_list import quality_verdicts
 from skyledger.llm.mixing import mix_sources
 from skyledger.llm.oracle import ORACLE  # noqa: F401
 from skyledger.llm.packing import pack_documents
@@ -32,6 +33,10 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_digests(format_chats(turns.union(more)))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"), sample=20_000)
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
     "op5_chat_format": op5_chat_format,
+    "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
