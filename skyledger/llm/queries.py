@@ -14,6 +14,7 @@ from skyledger.llm.sharding import shard_by_bytes
 from skyledger.llm.simhash import near_duplicates
 from skyledger.llm.token_files import token_file_digests
 from skyledger.llm.tokens import tokenizer_path
+from skyledger.llm.toxicity import toxicity_scores
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +38,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"), sample=20_000)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), sample=8000, landmarks=64)
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
