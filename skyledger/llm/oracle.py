@@ -47,4 +47,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-ORACLE = {"op1_mix_sources": MIX, "op5_chat_format": CHAT}
+VECTORS = """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(vec_id, node) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.node = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+       r.least AS component_id, r.least = e.vec_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(node) AS least FROM reach GROUP BY vec_id) r USING (vec_id)
+"""
+
+ORACLE = {"op4_cap_filters": VECTORS, "op1_mix_sources": MIX, "op5_chat_format": CHAT}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.cap_filters import near_duplicate_vectors
 from skyledger.llm.chat import chat_digests, format_chats
 from skyledger.llm.common import table
 from skyledger.llm.decision_list import quality_verdicts
@@ -25,6 +26,10 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digests(spark, table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, folder, "embeddings"), cosine=0.9)
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame(
@@ -57,6 +62,7 @@ def op10_shard_bytes(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
+    "op4_cap_filters": op4_cap_filters,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
