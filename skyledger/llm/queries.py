@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.llm.cap_filters import near_duplicate_vectors
 from skyledger.llm.chat import chat_digests, format_chats
 from skyledger.llm.common import table
 from skyledger.llm.decision_list import quality_verdicts
+from skyledger.llm.katz import katz_scores
 from skyledger.llm.mixing import mix_sources
 from skyledger.llm.oracle import ORACLE  # noqa: F401
 from skyledger.llm.packing import pack_documents
@@ -26,6 +28,12 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digests(spark, table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op3_katz(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    scores = katz_scores(table(spark, folder, "documents"), train=fold != 0)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, folder, "embeddings"), cosine=0.9)
 
@@ -62,6 +70,7 @@ def op10_shard_bytes(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
+    "op3_katz": op3_katz,
     "op4_cap_filters": op4_cap_filters,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
