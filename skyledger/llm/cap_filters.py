@@ -41,12 +41,12 @@ SMALL = 24
 def product_code(dims: int, words: int, rotations: int, seed: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each rotation its matrix and the code words of both blocks."""
     random = np.random.default_rng([seed, dims])
-    half = max(1, dims // 2)
+    half = dims // 2
     out = []
     for _ in range(rotations):
         turn, _ = np.linalg.qr(random.standard_normal((dims, dims)))
         codes = []
-        for size in (half, max(1, dims - half)):
+        for size in (half, dims - half):
             code = random.standard_normal((words, size))
             codes.append(code / np.linalg.norm(code, axis=1, keepdims=True) / np.sqrt(2))
         out.append((turn, *codes))
@@ -54,20 +54,27 @@ def product_code(dims: int, words: int, rotations: int, seed: int) -> list[tuple
 
 
 def decode(x: np.ndarray, words: int, rotations: int, height: float, seed: int) -> list[np.ndarray]:
-    """Numbers of the filters that each unit vector (a row) passes: those it leans to by ``height / sqrt(dims)``."""
+    """Numbers of the filters that each unit vector (a row) passes.
+
+    The threshold is ``height / sqrt(dims)``, but 0.75 at the most: in few dimensions hardly any direction is
+    nearer. Shorter vectors than 16 are filled up with zeros, which changes no cosine.
+    """
+    own = x.shape[1]
+    if own < 16:
+        x = np.hstack([x, np.zeros((len(x), 16 - own))])
     dims = x.shape[1]
-    least = height / np.sqrt(dims)
+    least = min(0.75, height / np.sqrt(dims))
     found: list[list[np.ndarray]] = [[] for _ in x]
     for number, (turn, first, second) in enumerate(product_code(dims, words, rotations, seed)):
         turned = x @ turn
         half = first.shape[1]
         a = turned[:, :half] @ first.T
-        b = turned[:, half:] @ second.T if dims > half else np.zeros((len(x), words))
+        b = turned[:, half:] @ second.T
         most = b.max(axis=1)
         for i in range(len(x)):
             some = np.flatnonzero(a[i] >= least - most[i])
             p, q = np.nonzero(a[i, some][:, None] + b[i][None, :] >= least)
-            found[i].append(((dims * rotations + number) * words + some[p]) * words + q)
+            found[i].append(((own * rotations + number) * words + some[p]) * words + q)
     return [np.concatenate(f) for f in found]
 
 

@@ -64,13 +64,13 @@ def format_chats(turns: DataFrame) -> DataFrame:
 def read_chats(formatted: DataFrame) -> DataFrame:
     """``conv_id, turns`` from ``conv_id, formatted``: the turns in order, each with ``role, text, learnt``."""
     blocks = F.filter(F.split("formatted", "</s>"), lambda b: b != "")
-    parts = F.transform(blocks, lambda b: F.split(F.substr(b, F.lit(4)), r"(?=\[/?INST\])"))
+    parts = F.transform(blocks, lambda b: F.split(b, r"(?=\[/?INST\])"))  # the first is <s> and the role
 
     def turns_of(p: Column) -> Column:
         return F.transform(
             F.slice(p, F.lit(2), F.size(p) - 1),
             lambda t: F.struct(
-                unescape(p[0]).alias("role"),
+                unescape(F.substr(p[0], F.lit(4))).alias("role"),
                 unescape(F.regexp_replace(t, r"^\[/?INST\]", "")).alias("text"),
                 t.startswith("[/INST]").alias("learnt"),
             ),

@@ -314,7 +314,7 @@ def katz_scores(docs: DataFrame, train: Column) -> DataFrame:
                 context, word = s.block.context[place], s.block.tokens[place]
                 size = len(s.block.vocabulary)
                 some = np.unique(context)
-                sums = [np.bincount(context, v, minlength=size)[some] for v in (s.pair_total[s.own], s.pair_kept[s.own], s.word[word])]
+                sums = [np.bincount(context, v, minlength=size)[some].astype(np.float64) for v in (s.pair_total[s.own], s.pair_kept[s.own], s.word[word])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.block.vocabulary[some].view(np.int64)), *map(pa.array, sums)], ["context", "n", "kept", "seen"]
                 )

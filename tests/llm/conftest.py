@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+#: Columns that no operator asks for, under names that they use themselves.
+CLASHING = ["size", "taken", "target", "key", "row", "fp", "label", "score", "kept", "group", "n_words", "piece", "length", "block", "shard"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
+
+
+def prose(seed: int, words: int) -> str:
+    """Invented words with some very common ones, sentences and lines."""
+    r = random.Random(seed)
+    parts = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
+    out = []
+    for i in range(words):
+        word = r.choice(["the", "of", "and", "is"]) if r.random() < 0.4 else "".join(r.choice(parts) for _ in range(r.randint(1, 4)))
+        out.append(word + (".\n" if i % 11 == 10 else ""))
+    return " ".join(out)
+
+
+def awkward_rows() -> list[tuple]:
+    """Null and empty texts and ids, repeated rows, ties, copies, one very long text."""
+    texts = [prose(i, 20 + 13 * i) for i in range(12)]
+    rows = [(i, t, "en", f"src{i % 3}", len(t)) for i, t in enumerate(texts)]
+    rows += [
+        (20, None, None, None, None),
+        (21, "", "en", "src0", 0),
+        (22, " \t\n ", "en", None, 4),
+        (23, prose(99, 30_000), "en", "src1", None),
+        (24, texts[3], "en", "src2", len(texts[3])),
+        (25, texts[3], "en", "src0", len(texts[3])),
+        (26, "Éa b \U0001f600 <s> [/INST] İ", "fr", "", 20),
+        (None, "a text without an id", "en", "src0", 20),
+        (None, None, None, None, None),
+    ]
+    rows += [(30, "the same row", "en", "src0", 12)] * 3
+    return [(*r, *CLASHING) for r in rows]
+
+
+@pytest.fixture(scope="session")
+def awkward(spark):
+    return spark.createDataFrame(awkward_rows(), SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def some_prose(spark):
+    """120 plain documents: ``doc_id, text, source``."""
+    rows = [(i, prose(i, 5 + i * 7 % 150), f"s{i % 5}") for i in range(120)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")

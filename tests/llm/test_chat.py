@@ -1,0 +1,81 @@
+import hashlib
+from collections import defaultdict
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skyledger.llm.chat import chat_digests, format_chats, merged_turns, read_chats
+
+SCHEMA = "conv_id long, turn long, role string, text string, formatted string, turns string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+
+
+def in_order(rows):
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        out[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [(r, t) for *_, r, t in sorted(v, key=lambda x: (x[0], x[1], x[2].encode(), x[3].encode()))] for c, v in out.items()}
+
+
+AWKWARD = [
+    (1, 0, "system", "</s>[INST] ok [/INST]"),
+    (1, 1, "user", None),
+    (1, 2, "user", "[~~/INST] <~s>"),
+    (1, 3, "assistant", ""),
+    (1, 4, "assistant", "<<s>\n[[INST]"),
+    (2, 0, None, "no role"),
+    (2, 0, None, "no role"),
+    (2, 0, "a[INST]b</s>", "odd role"),
+    (2, None, "assistant", "first"),
+    (None, 5, "assistant", "é\U0001f600"),
+    (3, 0, "user", "w " * 50_000),
+]
+
+
+def test_reads_back_what_it_wrote(spark):
+    back = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read_chats(format_chats(frame(spark, AWKWARD))).collect()}
+    assert back == in_order(AWKWARD)
+
+
+def test_digests(spark):
+    formatted = {r.conv_id: r.formatted for r in format_chats(frame(spark, AWKWARD)).collect()}
+    found = {r.conv_id: r for r in chat_digests(format_chats(frame(spark, AWKWARD))).collect()}
+    for conv, turns in in_order(AWKWARD).items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        r = found[conv]
+        assert (r.n_turns, r.loss_chars, r.formatted_chars) == (len(turns), len(loss), len(formatted[conv]))
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_neighbours_of_a_role_share_a_block(spark):
+    blocks = {r.conv_id: [(b.role, b.texts) for b in r.blocks] for r in merged_turns(frame(spark, AWKWARD)).collect()}
+    assert blocks[1] == [("system", ["</s>[INST] ok [/INST]"]), ("user", ["", "[~~/INST] <~s>"]), ("assistant", ["", "<<s>\n[[INST]"])]
+
+
+def test_template(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "user", "you"), (1, 2, "assistant", "a </s> b")]
+    assert format_chats(frame(spark, rows)).first().formatted == "<s>user[INST]hi[INST]you</s><s>assistant[/INST]a <~/s> b</s>"
+
+
+PIECES = ["<", "[", "~", "/", "s>", "INST]", "</s>", "[INST]", "[/INST]", "<s>", "a", "]", ">", "\n", "$1", "\\"]
+ODD = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2]), st.integers(0, 3), st.one_of(st.sampled_from(["user", "assistant"]), ODD), ODD), min_size=1, max_size=60))
+def test_any_text_survives(spark, rows):
+    back = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read_chats(format_chats(frame(spark, rows))).collect()}
+    assert back == in_order(rows)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = chat_digests(format_chats(frame(spark, AWKWARD)))._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_nothing(spark):
+    assert chat_digests(format_chats(frame(spark, []))).collect() == []

@@ -1,0 +1,66 @@
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+import corpus_pipeline
+import test_decision_list
+import test_mixing
+import test_packing
+import test_simhash
+from skyledger.llm.decision_list import quality_verdicts
+from skyledger.llm.toxicity import toxicity_scores
+from skyledger.session import write_and_reread
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no generated tables")
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_each_stage_does_its_work(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    columns = docs.columns
+    quality, toxicity, dedup, mixing, packing = (stage for _, stage in corpus_pipeline.STAGES)
+
+    good = write_and_reread(quality(spark, docs, FOLDER), "test")
+    kept = {r.doc_id for r in quality_verdicts(docs, labels).collect() if r.kept}
+    assert good.columns == columns and rows(good) == rows(docs.filter(docs.doc_id.isin(list(kept))))
+    assert all(test_decision_list.brute_force(r.text)[0] >= 50 for r in good.collect())
+
+    clean = write_and_reread(toxicity(spark, good, FOLDER), "test")
+    low = {r.doc_id for r in toxicity_scores(good, labels).collect() if not r.predicted}
+    assert clean.columns == columns and rows(clean) == rows(good.filter(good.doc_id.isin(list(low))))
+    assert 0 < clean.count() < good.count()
+
+    single = write_and_reread(dedup(spark, clean, FOLDER), "test")
+    expected = {c for *_, c in test_simhash.components([(r.doc_id, r.text) for r in clean.collect()])}
+    assert single.columns == columns and rows(single) == rows(clean.filter(clean.doc_id.isin(list(expected))))
+
+    mixed = write_and_reread(mixing(spark, single, FOLDER), "test")
+    taken = {i: n for i, _, _, _, n in test_mixing.brute_force([(r.doc_id, r.text, r.source) for r in single.collect()]) if n}
+    found = Counter()
+    for r in mixed.collect():
+        found[r.doc_id] += len(test_mixing.WORD.findall(r.text))
+    assert mixed.columns == columns and found == taken
+
+    packed = packing(spark, mixed, FOLDER).collect()
+    test_packing.check([(r.doc_id, r.text) for r in mixed.collect()], packed, 2048)
+    whole = corpus_pipeline.run(spark, FOLDER).collect()
+    key = lambda r: (r.doc_id, r.piece, r.length, r.ids_crc32)
+    assert Counter(map(key, whole)) == Counter(map(key, packed))
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_awkward_rows_and_none(spark, awkward, nothing, number):
+    _, stage = corpus_pipeline.STAGES[number]
+    out = stage(spark, awkward, FOLDER)
+    found = out.collect()
+    if number < 4:
+        assert out.columns == awkward.columns
+        assert {r.doc_id for r in found} <= {r.doc_id for r in awkward.collect()}
+    assert found
+    assert stage(spark, nothing, FOLDER).collect() == []

@@ -1,0 +1,112 @@
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from conftest import awkward_rows, prose
+from skyledger.llm import toxicity as module
+from skyledger.llm.toxicity import DECAY, FLOOR, POWER, SPAN, Landmarks, drop_toxic, fold, kernel, sentences, subsequences, toxicity_scores
+
+INSULTS = ["idiot", "worthless", "moron", "pathetic", "scum"]
+
+
+def brute_force_kernel(a, b):
+    def weights(word):
+        out = {}
+        for places in itertools.combinations(range(len(word)), 3):
+            if places[2] - places[0] <= SPAN:
+                key = tuple(word[p] for p in places)
+                out[key] = out.get(key, 0) + DECAY ** (places[2] - places[0] + 1)
+        return out
+
+    x, y = weights(a), weights(b)
+    norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return (sum(x[k] * y.get(k, 0) for k in x) / norm) ** POWER if norm else 0.0
+
+
+def words(n, seed=0):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcd{") for _ in range(r.randint(1, 14))).encode() for _ in range(n)]
+
+
+def test_kernel():
+    for a, b in zip(words(150), words(150, 1), strict=True):
+        assert kernel(a, b) == pytest.approx(brute_force_kernel(a, b))
+        assert kernel(a, a) == pytest.approx(1.0 if len(a) > 2 else 0.0)
+    assert subsequences(b"ab") == {}
+
+
+def test_all_words_at_once():
+    near = Landmarks([b"abcab", b"dcbadcba", b"aaa"])
+    some = sorted(set(words(400)))
+    near.learn(set(some))
+    for w in some:
+        expected = np.array([kernel(w, m) for m in near.words])
+        found = near.active.get(w)
+        found = np.zeros(3) if found is None else found
+        sure = np.abs(expected - FLOOR) > 1e-9
+        assert found[sure] == pytest.approx(np.where(expected < FLOOR, 0, expected)[sure])
+
+
+def test_letters_put_between_lower_the_kernel_little():
+    assert kernel(b"idiot", b"idiot") == pytest.approx(1)
+    assert kernel(b"worthxless", b"worthless") > 0.3 > 0.01 > kernel(b"hereathing", b"worthless")
+
+
+def test_folding():
+    assert fold("Id10t! É9 i.d-i_o*t ñß".encode()) == b"idiot e idiot ns"
+    assert sentences("One i.d.iot. Two!\nthree? four") == [[b"one", b"idiot"], [b"two"], [b"three"], [b"four"]]
+
+
+def text_of(i, toxic):
+    body = prose(i, 30 + i % 90).split(" ")
+    if toxic:
+        for j in range(1 + i % 3):
+            body.insert((13 * i + 7 * j) % len(body), INSULTS[(i + j) % 5])
+    return " ".join(body)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rows = [(i, text_of(i, i % 4 == 0)) for i in range(900)]
+    labels = [(i, 1, int(i % 4 == 0) ^ int(i % 97 == 0)) for i in range(900)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_documents(corpus):
+    rows, docs, labels = corpus
+    found = {r.doc_id: r for r in toxicity_scores(docs, labels).collect()}
+    assert all(found[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, _ in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
+    held = [i for i, _ in rows if found[i].held_out]
+    assert np.mean([found[i].predicted == (i % 4 == 0) for i in held]) > 0.97
+
+
+def test_spoilt_insults(spark, corpus):
+    _, docs, labels = corpus
+    model = module.train(docs, labels)
+    spoilt = ["idiiot and wortxhless", "m o r o n pathe.tic", "paathetic scuum idioot", "i.d.i.o.t", "W0RTHLE55"]
+    plain = [prose(i, 40) for i in range(2000, 2030)]
+    assert model.scores(spoilt).min() > model.scores(plain).max()
+    assert (model.scores(plain) < 0.5).all()
+
+
+def test_rows_that_stay(corpus):
+    _, docs, labels = corpus
+    low = {r.doc_id for r in toxicity_scores(docs, labels).collect() if not r.predicted}
+    out = drop_toxic(docs.selectExpr("*", "'x' AS row", "'y' AS score"), labels)
+    assert out.columns == ["doc_id", "text", "row", "score"] and {r.doc_id for r in out.collect()} == low
+
+
+def test_awkward(spark, awkward, nothing):
+    labels = spark.createDataFrame([(i, i % 2, i % 3 // 2) for i in range(12)] + [(None, 1, 1), (3, None, None)] + [(30, 1, 0)] * 2, "doc_id long, quality int, toxic int")
+    found = toxicity_scores(awkward, labels).collect()
+    assert len(found) == len(awkward_rows()) and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (20, 21, 22)}) == 1
+    assert all(r.held_out for r in found if r.doc_id is None)
+    assert toxicity_scores(nothing, labels).collect() == []
+    assert drop_toxic(nothing, labels).collect() == []
+    clean = toxicity_scores(awkward, labels.filter("toxic = 0")).collect()
+    assert all(r.score < 1e-6 for r in clean)
