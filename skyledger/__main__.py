@@ -4,10 +4,25 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from .plans import JOBS, run_job
 from .session import build_session
 
 
+def first_lines(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The first ``n`` lines of a written report in the order of its parts.
+
+    They come from the report, which is small, not from running the analysis a second time.
+    A reader takes large parts first, so each part is read by itself.
+    """
+    lines: list[str] = []
+    for part in sorted(spark.read.text(path).inputFiles()):
+        if len(lines) < n:
+            lines += [row.value for row in spark.read.text(part).limit(n - len(lines)).collect()]
+    return lines
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="skyledger", description=__doc__)
     parser.add_argument("analysis", choices=sorted(JOBS))
@@ -24,9 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
     try:
         run_job(spark, args.analysis, args.input_path, args.output_path, args.format, args.means_path)
         if args.preview:
-            # From the report, which is small, not by running the analysis a second time.
-            for line in spark.read.text(args.output_path).limit(args.preview).toLocalIterator():
-                print(line.value)
+            for line in first_lines(spark, args.output_path, args.preview):
+                print(line)
     finally:
         spark.stop()
 

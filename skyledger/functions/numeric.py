@@ -39,5 +39,9 @@ def safe_divide(total: Column, count: Column, default: float | None = None) -> C
 
 
 def number_text(value: Column) -> Column:
-    """Shortest decimal text with at least one decimal and no exponent: ``0.0005``, ``-44.0``."""
-    return F.call_function("format_number", value, F.lit("0.0" + "#" * 16))
+    """Decimal text with at least one decimal and no exponent: ``0.0005``, ``-44.0``.
+
+    Every digit that the double needs is written; 340 decimals, the most that the format
+    takes, are enough for any double.
+    """
+    return F.call_function("format_number", value, F.lit("0.0" + "#" * 339))

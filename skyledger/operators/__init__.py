@@ -2,6 +2,8 @@
 
 from .aggregates import airport_means, operated_airport_means, pair_sums, route_sums
 from .cleaning import (
+    STRICT,
+    Fields,
     clean,
     dedupe_rows,
     drop_malformed,
@@ -17,6 +19,8 @@ from .nesting import nest, unnest
 from .ranking import dense_position, sequence_position, with_airport_sums
 
 __all__ = [
+    "STRICT",
+    "Fields",
     "airport_means",
     "clean",
     "dedupe_rows",

@@ -49,6 +49,7 @@ def pair_sums(
     carrier_delays: str = "operated",
     airport_delays: str = "operated",
     valid: str = "operated",
+    counted: Column | None = None,
 ) -> DataFrame:
     """Additive measures of each (origin, carrier) pair.
 
@@ -58,6 +59,7 @@ def pair_sums(
     airport_delays  the same for the sum that the airport's mean is made of
     valid           what the sums are divided by: "operated" counts the operated flights
                     with a delay, "uncancelled" is all flights minus the cancellations
+    counted         where it is not true, a flight enters the airport's sums only
     """
     cancelled, departure, arrival = (F.col(c) for c in ("cancelled", "dep_delay", "arr_delay"))
     if missing == "zero":
@@ -74,6 +76,20 @@ def pair_sums(
             return F.count(operated(value)).cast("double")
         return F.count(F.lit(1)) - F.sum(cancelled)
 
+    if counted is not None:
+        mine = df.withColumns({"_counted": F.coalesce(counted, F.lit(False))})
+        own = F.col("_counted")
+        return mine.groupBy(*PAIR_KEYS).agg(
+            F.count_if(own).alias("flights"),
+            F.sum(F.when(own, cancelled)).alias("cancelled_sum"),
+            F.count(F.when(own, cancelled)).alias("cancelled_known"),
+            total(F.when(own, departure), carrier_delays).alias("dep_sum"),
+            divisor(F.when(own, departure)).alias("dep_flights"),
+            total(F.when(own, arrival), carrier_delays).alias("arr_sum"),
+            divisor(F.when(own, arrival)).alias("arr_flights"),
+            total(departure, airport_delays).alias("airport_sum"),
+            divisor(departure).alias("airport_flights"),
+        )
     return df.groupBy(*PAIR_KEYS).agg(
         F.count(F.lit(1)).alias("flights"),
         F.sum(cancelled).alias("cancelled_sum"),
@@ -96,9 +112,9 @@ def airport_means(pairs: DataFrame, default: float | None = None) -> DataFrame:
 def operated_airport_means(df: DataFrame) -> DataFrame:
     """Mean departure delay over the operated flights of each airport, missing ones as 0.
 
-    An airport without an operated flight has no row.
+    A missing flag counts as operated. An airport without an operated flight has no row.
     """
-    operated = df.where(F.col("cancelled") == 0)
+    operated = df.where(F.coalesce("cancelled", F.lit(0.0)) == 0)
     return operated.groupBy("origin").agg(
         F.avg(F.coalesce("dep_delay", F.lit(0.0))).alias("airport_mean")
     )

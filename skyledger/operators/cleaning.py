@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
@@ -56,25 +57,87 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+@dataclass(frozen=True)
+class Fields:
+    """The fields of a flight that a report reads, and what it does with a bad one.
+
+    keys       must hold more than white space
+    month      "required" (a number), "optional" (a number or missing) or "unread"
+    flag       what a missing cancellation flag means: "required" drops the flight, "zero" makes it an
+               operated one, "null" counts the flight but neither its delays nor its flag
+    delays     the delays read; each must be a number or missing
+    cancelled_delays  whether the delays of cancelled flights are read too
+    whole_flag a flight is cancelled if its flag, as a whole number, is 1; else if it isn't 0
+    """
+
+    keys: tuple[str, ...] = ROUTE_KEYS
+    month: str = "required"
+    flag: str = "required"
+    delays: tuple[str, ...] = DELAYS
+    cancelled_delays: bool = True
+    whole_flag: bool = False
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """The columns read, in the order of the flight schema."""
+        read = {*self.keys, *self.delays, "cancelled"} | ({"month"} if self.month != "unread" else set())
+        return tuple(name for name, _, _ in FLIGHT_FIELDS if name in read)
+
+
+#: Every field is read, and only delays may be missing.
+STRICT = Fields()
+
+
 def _number(name: str, kind: str) -> Column:
     return try_number(F.col(name), kind)
 
 
-def drop_malformed(df: DataFrame) -> DataFrame:
-    """Typed flights from text columns, without the rows that do not parse.
+def _numbers_fine(fields: Fields) -> Column:
+    flag = _number("cancelled", "double")
+    tests = [flag.isNotNull() if fields.flag == "required" else flag.isNotNull() | is_missing(F.col("cancelled"))]
+    if fields.month != "unread":
+        month = _number("month", "int").isNotNull()
+        tests.append(month if fields.month == "required" else month | is_missing(F.col("month")))
+    unused = F.lit(False)
+    if not fields.cancelled_delays:
+        unused = flag.cast("int") == 1 if fields.whole_flag else flag != 0
+        unused = F.coalesce(unused, F.lit(fields.flag == "null"))
+    tests += [_number(c, "double").isNotNull() | is_missing(F.col(c)) | unused for c in fields.delays]
+    return reduce(and_, tests)
+
+
+def _typed(fields: Fields) -> dict[str, Column]:
+    return {
+        name: strip(F.col(name)) if kind == "string" else _number(name, kind)
+        for name, _, kind in FLIGHT_FIELDS
+        if name in fields.columns
+    }
+
 
-    Month and cancellation flag must be numbers; a line cut off before the flag therefore
-    goes as well. A delay must be a number or be missing (empty or ``None``). Columns that
-    are no flight columns pass through unchanged.
+def drop_malformed(df: DataFrame, fields: Fields = STRICT) -> DataFrame:
+    """Typed flights from text columns, without the rows that have a bad field among ``fields``.
+
+    A bad field is one that is neither a number nor missing (empty or ``None``), or is missing where
+    it is required; a line cut off before the flag therefore goes where a flag is required. Fields that the
+    report doesn't read are not looked at; columns that are no flight columns pass through unchanged.
     """
-    tests = [_number("month", "int").isNotNull(), _number("cancelled", "double").isNotNull()]
-    tests += [_number(c, "double").isNotNull() | is_missing(F.col(c)) for c in DELAYS]
-    typed = {
-        name: strip(F.col(name)) if kind == "string" else _number(name, kind) for name, _, kind in FLIGHT_FIELDS
-    }
-    return df.where(reduce(and_, tests)).withColumns(typed)
+    return df.where(_numbers_fine(fields)).withColumns(_typed(fields))
 
 
-def clean(df: DataFrame, keys: Sequence[str] = ROUTE_KEYS) -> DataFrame:
-    """Typed flights with usable keys: no header lines, malformed rows or blank keys."""
-    return df.transform(filter_blank_keys, *keys).transform(drop_malformed).transform(filter_embedded_header)
+def _keys_fine(keys: Sequence[str]) -> Column:
+    """Keys that are filled and don't hold their own column's name, as a header line's do."""
+    return reduce(and_, (F.coalesce(is_filled(F.col(c)) & (strip(F.col(c)) != c), F.lit(False)) for c in keys))
+
+
+def clean(df: DataFrame, fields: Fields = STRICT, airport: Fields | None = None) -> DataFrame:
+    """Typed flights with usable keys: no header lines, malformed rows or blank keys.
+
+    With ``airport``, the rows that are good by those fields stay, and the column ``counted``
+    tells which are good by ``fields``: a carrier's numbers may need more fields than
+    its airport's mean does.
+    """
+    read = airport or fields
+    typed = _typed(fields)
+    if airport:
+        typed |= {"counted": _keys_fine(fields.keys) & _numbers_fine(fields)}
+    return df.where(_keys_fine(read.keys) & _numbers_fine(read)).withColumns(typed)

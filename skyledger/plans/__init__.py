@@ -1,7 +1,7 @@
 """The analyses: route statistics and carrier rankings, in all their variants."""
 
 from .carrier_ranking import RANKING_PRESETS, RankingRules, carrier_ranking, ranking_preset
-from .jobs import JOBS, run_job
+from .jobs import JOBS, read_for, run_job
 from .route_stats import ROUTE_PRESETS, RouteRules, route_preset, route_stats
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "RouteRules",
     "carrier_ranking",
     "ranking_preset",
+    "read_for",
     "route_preset",
     "route_stats",
     "run_job",

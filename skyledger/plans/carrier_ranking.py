@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import round_half_even, round_half_up, safe_divide
 from ..operators import (
     dedupe_rows,
+    Fields,
     dense_position,
     filter_not_null,
     join_airport_mean,
@@ -19,6 +20,10 @@ from ..operators import (
 from ..schema import PAIR_KEYS
 
 
+#: What the mean departure delay of an airport is made of.
+AIRPORT_MEAN_FIELDS = Fields(("origin",), "unread", "zero", ("dep_delay",), cancelled_delays=False)
+
+
 @dataclass(frozen=True)
 class RankingRules:
     """How the variants differ; the first four are the arguments of ``pair_sums``.
@@ -40,6 +45,19 @@ class RankingRules:
     half_even: bool = True
     dense: bool = False
 
+    @property
+    def fields(self) -> Fields:
+        """What a flight must have to count for its carrier."""
+        flag = "zero" if self.missing == "zero" else "null"
+        return Fields(PAIR_KEYS, "unread", flag, cancelled_delays=self.carrier_delays == "all")
+
+    @property
+    def airport(self) -> Fields | None:
+        """What it must have to count for its airport's mean, if that is less."""
+        if self.missing != "zero" or self.dedupe:
+            return None
+        return AIRPORT_MEAN_FIELDS
+
 
 RANKING_PRESETS = {
     "ranking_sql": RankingRules(missing="skip", default=None, half_even=False, dense=True),
@@ -58,12 +76,14 @@ def carrier_ranking(
 
     One scan and one large aggregation; the airport's mean and the position are windows
     over the pair sums. With ``airport_means`` the means are looked up there instead.
+    Flights may have a column ``counted``: those for which it is not true enter the airport's mean only.
     """
     rounded = round_half_even if rules.half_even else round_half_up
-    flights = filter_not_null(flights, *PAIR_KEYS)
+    counted = F.col("counted") if "counted" in flights.columns else None
+    flights = filter_not_null(flights, *(PAIR_KEYS if counted is None else ["origin"]))
     if rules.dedupe:
         flights = dedupe_rows(flights)
-    pairs = pair_sums(flights, rules.missing, rules.carrier_delays, rules.airport_delays, rules.valid)
+    pairs = pair_sums(flights, rules.missing, rules.carrier_delays, rules.airport_delays, rules.valid, counted)
 
     def mean(total: str, count: str) -> Column:
         return safe_divide(F.col(total), F.col(count), rules.default)
@@ -81,9 +101,14 @@ def carrier_ranking(
     )
     position = dense_position("dep_mean") if rules.dense else sequence_position("dep_mean")
     if airport_means is not None:
+        if counted is not None:
+            means = means.where("flights > 0")
         ranked = join_airport_mean(means, airport_means).withColumn("position", position)
     else:
-        ranked = with_airport_sums(means.withColumn("position", position))
+        if counted is None:
+            ranked = with_airport_sums(means.withColumn("position", position))
+        else:
+            ranked = with_airport_sums(means).where("flights > 0").withColumn("position", position)
         ranked = ranked.withColumn("airport_mean", mean("airport_sum_all", "airport_flights_all"))
         if rules.airport_digits is not None:
             ranked = ranked.withColumn("airport_mean", rounded(F.col("airport_mean"), rules.airport_digits))

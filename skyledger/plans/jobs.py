@@ -9,8 +9,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import round_half_even
-from ..operators import nest, operated_airport_means
-from ..schema import PAIR_KEYS, RANKING_LIST, ROUTE_KEYS, ROUTE_LIST
+from ..operators import Fields, nest, operated_airport_means
+from ..schema import RANKING_LIST, ROUTE_LIST
 from ..sinks import (
     ranking_lines,
     route_json_lines,
@@ -21,7 +21,7 @@ from ..sinks import (
     write_text,
 )
 from ..sources import read_airport_means, read_flights
-from .carrier_ranking import RANKING_PRESETS, carrier_ranking
+from .carrier_ranking import AIRPORT_MEAN_FIELDS, RANKING_PRESETS, carrier_ranking
 from .route_stats import ROUTE_PRESETS, route_stats
 
 Writer = Callable[[DataFrame, str], None]
@@ -31,14 +31,15 @@ Writer = Callable[[DataFrame, str], None]
 class Job:
     """``report`` makes rows from flights; ``formats`` are its writers, the first by default.
 
-    ``keys`` are the columns a flight must have; ``whole_rows`` reads every column of the
-    file, for a report that compares whole rows; ``takes_means`` says that the report can
-    look airport means up in a saved table.
+    ``fields`` are those it reads of a flight, ``airport`` those it reads for the airport's mean if they are
+    fewer; ``whole_rows`` reads every column of the file, for a report that compares whole rows;
+    ``takes_means`` says that the report can look airport means up in a saved table.
     """
 
     report: Callable[..., DataFrame]
     formats: dict[str, Writer]
-    keys: tuple[str, ...] = PAIR_KEYS
+    fields: Fields
+    airport: Fields | None = None
     whole_rows: bool = False
     takes_means: bool = False
 
@@ -75,17 +76,22 @@ def _jobs() -> dict[str, Job]:
     jobs = {}
     for name, rules in ROUTE_PRESETS.items():
         formats = {"csv": write_csv} if rules.text_months else routes
-        jobs[name] = Job(partial(route_stats, rules=rules), formats, ROUTE_KEYS)
+        jobs[name] = Job(partial(route_stats, rules=rules), formats, rules.fields)
     for name, rules in RANKING_PRESETS.items():
         formats = {"text": _ranking_as_text, "nested": _ranking_nested}
         if rules.dense:
             formats = dict(reversed(formats.items()))
         jobs[name] = Job(
-            partial(carrier_ranking, rules=rules), formats, whole_rows=rules.dedupe, takes_means=True
+            partial(carrier_ranking, rules=rules),
+            formats,
+            rules.fields,
+            rules.airport,
+            whole_rows=rules.dedupe,
+            takes_means=True,
         )
     means = {"tsv": write_airport_means}
-    jobs["airport_mean"] = Job(partial(_airport_mean, digits=2), means)
-    jobs["airport_mean_unrounded"] = Job(partial(_airport_mean, digits=None), means)
+    jobs["airport_mean"] = Job(partial(_airport_mean, digits=2), means, AIRPORT_MEAN_FIELDS)
+    jobs["airport_mean_unrounded"] = Job(partial(_airport_mean, digits=None), means, AIRPORT_MEAN_FIELDS)
     return jobs
 
 
@@ -112,5 +118,10 @@ def run_job(
         if not job.takes_means:
             raise ValueError(f"{name} takes no airport means")
         options["airport_means"] = read_airport_means(spark, means_path)
-    flights = read_flights(spark, input_path, job.keys, keep_rest=job.whole_rows)
-    write(job.report(flights, **options), output_path)
+    write(job.report(read_for(spark, job, input_path, with_airport=not means_path), **options), output_path)
+
+
+def read_for(spark: SparkSession, job: Job, path: str, with_airport: bool = True) -> DataFrame:
+    """The flights that a job's report needs, with the columns it reads and no others."""
+    airport = job.airport if with_airport else None
+    return read_flights(spark, path, job.fields, keep_rest=job.whole_rows, airport=airport)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import months_text, round_half_even, round_half_up, route_label, safe_divide
-from ..operators import filter_not_null, route_sums
+from ..operators import Fields, filter_not_null, route_sums
 from ..schema import ROUTE_KEYS
 
 
@@ -32,6 +32,12 @@ class RouteRules:
     half_even: bool = False
     text_months: bool = False
 
+    @property
+    def fields(self) -> Fields:
+        """What a flight must have to count; a cancelled flight's delay is not read."""
+        month, flag = ("required", "required") if self.whole_flag else ("optional", "null")
+        return Fields(ROUTE_KEYS, month, flag, (self.delay,), cancelled_delays=False, whole_flag=self.whole_flag)
+
 
 ROUTE_PRESETS = {
     "route_stats_arr": RouteRules("arr_delay", whole_flag=True, half_even=True),

@@ -12,8 +12,12 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """With a header line, and quotes doubled as the reader expects them."""
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    """With a header line, quotes doubled as the reader expects them, and outer blanks kept.
+
+    NULL is written as nothing and the empty text as two quotes, which the reader tells apart.
+    """
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
 
 
 def write_text(lines: DataFrame, path: str) -> None:

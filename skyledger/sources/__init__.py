@@ -1,6 +1,6 @@
 """Readers."""
 
-from .flights import read_flights, read_flights_text, resolve_columns
+from .flights import DIALECT, read_flights, read_flights_text, resolve_columns
 from .side_table import read_airport_means
 
-__all__ = ["read_airport_means", "read_flights", "read_flights_text", "resolve_columns"]
+__all__ = ["DIALECT", "read_airport_means", "read_flights", "read_flights_text", "resolve_columns"]

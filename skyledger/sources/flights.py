@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.cleaning import clean
-from ..schema import FLIGHT_COLUMNS, ROUTE_KEYS, SOURCE_POSITIONS
+from ..operators.cleaning import STRICT, Fields, clean
+from ..schema import FLIGHT_COLUMNS, SOURCE_POSITIONS
 
-#: Fields may be quoted and hold commas; a quote inside a quoted field is doubled.
-DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
+#: Fields may be quoted and hold commas; a quote inside a quoted field is doubled. Nothing between two commas
+#: is NULL and two quotes are the empty text; the reader tells them apart if NULL is some other text to it.
+DIALECT = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\x00"}
+
+
+def has_names(header: Sequence[str]) -> bool:
+    """Whether a first line names the fields; without the name ``origin`` it is data."""
+    return "origin" in (name.strip().lower() for name in header)
 
 
 def field_positions(header: Sequence[str]) -> dict[str, int]:
     """Position of each flight column, by name without regard to case or outer blanks.
 
-    A first line without the name ``origin`` is data, not a header: the source's fixed
-    positions apply.
+    If the first line is no header, the source's fixed positions apply.
     """
     names = [name.strip().lower() for name in header]
-    if "origin" not in names:
+    if not has_names(header):
         positions = SOURCE_POSITIONS
         if max(positions.values()) >= len(names):
             raise ValueError(f"no header, and only {len(names)} fields: the flight columns cannot be located")
@@ -31,49 +40,100 @@ def field_positions(header: Sequence[str]) -> dict[str, int]:
     return {column: names.index(column) for column in FLIGHT_COLUMNS}
 
 
-def resolve_columns(df: DataFrame, keep_rest: bool = False) -> DataFrame:
-    """Pick the flight columns out of ``df`` under their standard names.
+def resolve_columns(df: DataFrame, keep_rest: bool = False, columns: Sequence[str] = FLIGHT_COLUMNS) -> DataFrame:
+    """Pick the flight ``columns`` out of ``df`` under their standard names.
 
-    ``keep_rest`` also keeps the other columns, packed into one text column ``rest``, for
-    operators that compare whole rows: one column travels through a shuffle in about half
-    the bytes of many short ones.
+    ``keep_rest`` also keeps all other columns, packed into one text column ``rest`` in the order of
+    their names, for operators that compare whole rows: one column travels through a shuffle in about half
+    the bytes of many short ones. A whole number that is written with decimals counts as the number without.
     """
     positions = field_positions(df.columns)
     numbered = df.toDF(*(f"field_{i}" for i in range(len(df.columns))))
-    picked = [F.col(f"field_{positions[name]}").alias(name) for name in FLIGHT_COLUMNS]
+    picked = [F.col(f"field_{positions[name]}").alias(name) for name in columns]
     if keep_rest:
-        used = set(positions.values())
-        others = [c for i, c in enumerate(numbered.columns) if i not in used]
+        used = {positions[name] for name in columns}
+        names = [(name.strip().lower(), i) for i, name in enumerate(df.columns) if i not in used]
+        others = [F.regexp_replace(f"field_{i}", r"^([+-]?\d+)\.0+$", "$1").alias(f"field_{i}") for _, i in sorted(names)]
         # Quotes are doubled, so that different fields never pack into the same text.
         packed = F.to_csv(F.struct(*others), DIALECT) if others else F.lit("")
         picked.append(packed.alias("rest"))
     return numbered.select(*picked)
 
 
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
+    """The fields of the first line of each file; the driver reads no more of it than that."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(configuration)
+
+    def first(file: str) -> list[str]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(configuration).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            source = codec.createInputStream(stream) if codec else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return next(csv.reader([line or ""]), [])
+
+    with ThreadPoolExecutor(16) as threads:
+        return list(threads.map(first, files))
+
+
+def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str] | None]]:
+    """Header and files of each column order among the files at ``path``.
+
+    Files are None if all have one order. A file without a header, such as a later part of one that was cut,
+    has the order of those that have one, which then must agree.
+    """
+    files = spark.read.text(path).inputFiles()
+    heads = dict(zip(files, _first_lines(spark, files), strict=True))
+    layouts = defaultdict(list)
+    for file, head in heads.items():
+        if has_names(head):
+            layouts[tuple(name.strip().lower() for name in head)].append(file)
+    bare = [file for file, head in heads.items() if head and not has_names(head)]
+    if not layouts:
+        return [(max(heads.values(), key=len, default=[]), None)]
+    if len(layouts) == 1:
+        return [(list(next(iter(layouts))), None)]
+    if bare:
+        raise ValueError(f"{bare[0]} has no header, and the headers of other files differ")
+    return [(list(names), own) for names, own in layouts.items()]
+
+
 def read_flights_text(
-    spark: SparkSession, path: str, keep_rest: bool = False, header: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    keep_rest: bool = False,
+    header: Sequence[str] | None = None,
+    columns: Sequence[str] = FLIGHT_COLUMNS,
 ) -> DataFrame:
     """All lines of the file(s) as text columns, header lines included.
 
-    ``header`` names the fields; without it the names come from the first line of the
-    first file. Header lines are not skipped by position, because a file that was cut into
+    ``header`` names the fields; without it the names come from the first line of each file, so that files of
+    different column orders may lie together. Header lines are not skipped by position, because a file that was cut into
     parts has one only in its first part; ``clean`` drops them by content wherever they
     stand. The columns are text, so that a bad number costs its row and not the job, and
     no pass over the data is spent on type inference.
     """
-    if header is None:
-        header = spark.read.options(header=True, inferSchema=False, **DIALECT).csv(path).columns
-    numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
-    lines = spark.read.options(header=False, **DIALECT).schema(numbered).csv(path)
-    return resolve_columns(lines.toDF(*header), keep_rest)
+    layouts = [(list(header), None)] if header is not None else _layouts(spark, path)
+    parts = []
+    for names, files in layouts:
+        numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        lines = spark.read.options(header=False, **DIALECT).schema(numbered).csv(files or path)
+        parts.append(resolve_columns(lines.toDF(*names), keep_rest, columns))
+    return reduce(DataFrame.union, parts)
 
 
 def read_flights(
     spark: SparkSession,
     path: str,
-    keys: Sequence[str] = ROUTE_KEYS,
+    fields: Fields = STRICT,
     keep_rest: bool = False,
     header: Sequence[str] | None = None,
+    airport: Fields | None = None,
 ) -> DataFrame:
-    """Typed, cleaned flights; see ``operators.cleaning.clean`` for what is dropped."""
-    return clean(read_flights_text(spark, path, keep_rest, header), keys)
+    """Typed, cleaned flights with the columns that ``fields`` names; see ``operators.cleaning.clean``."""
+    text = read_flights_text(spark, path, keep_rest, header, fields.columns)
+    return clean(text, fields, airport)

@@ -191,6 +191,76 @@ FROM pairs LEFT JOIN means USING (origin))
 SELECT *, {_half_even("(dep_mean - airport_mean)", 2)} AS difference FROM joined"""
 
 
+def _number(value: str) -> str:
+    return f"TRY_CAST({_sentinel(value)} AS DOUBLE)"
+
+
+def _fine(value: str) -> str:
+    """A number or missing."""
+    return f"({_sentinel(value)} IS NULL OR {_number(value)} IS NOT NULL)"
+
+
+def _named(*keys: str) -> str:
+    return " AND ".join(f"coalesce({_strip(k)} <> '' AND {_strip(k)} <> '{k}', false)" for k in keys)
+
+
+def _raw_flights(where: str, flag: str = _number("cancelled"), counted: str = "true") -> str:
+    """Typed flights of the raw table that a job's own rules let through."""
+    return f"""{_VOLI_RAW}, voli AS (
+SELECT TRY_CAST({_strip("month")} AS INTEGER) AS month, {_strip("op_unique_carrier")} AS op_unique_carrier,
+       {_strip("origin")} AS origin, {_strip("dest")} AS dest, {_number("dep_delay")} AS dep_delay,
+       {_number("arr_delay")} AS arr_delay, {flag} AS cancelled, {counted} AS counted
+FROM voli_raw WHERE {where})
+"""
+
+
+_FLAG = _number("cancelled")
+_FLAG_OR_0 = f"coalesce({_FLAG}, 0.0e0)"
+_AIRPORT_ROWS = f"""{_named("origin")} AND {_fine("cancelled")} AND ({_FLAG_OR_0} <> 0 OR {_fine("dep_delay")})"""
+_MONTH_FINE = f"({_sentinel('month')} IS NULL OR TRY_CAST({_strip('month')} AS INTEGER) IS NOT NULL)"
+
+
+def _job_ranking_zero(counted: str, delay: str, digits: int | None) -> str:
+    """Carriers over the counted flights, the airport's mean over all that its own rule lets through."""
+    airport = f"coalesce(avg(CASE WHEN cancelled = 0 THEN {_or_zero('dep_delay')} END), 0.0e0)"
+
+    def total(column: str) -> str:
+        return f"sum(CASE WHEN {delay} THEN {_or_zero(column)} ELSE 0.0e0 END)"
+
+    return f"""{_raw_flights(_AIRPORT_ROWS, _FLAG_OR_0, counted)}, airports AS (
+SELECT origin, {airport if digits is None else _half_even(airport, digits)} AS airport FROM voli GROUP BY origin),
+sums AS (
+SELECT origin, op_unique_carrier AS carrier, count(*) AS flights, sum(cancelled) AS c,
+       {total("dep_delay")} AS d, {total("arr_delay")} AS r, {_OPERATED_COUNT} AS v
+FROM voli WHERE counted GROUP BY origin, op_unique_carrier),
+means AS (
+SELECT origin, carrier, flights, airport, {_half_even("(c / flights)", 4)} AS rate,
+       CASE WHEN v > 0 THEN {_half_even("(d / v)", 2)} ELSE 0.0e0 END AS dep,
+       CASE WHEN v > 0 THEN {_half_even("(r / v)", 2)} ELSE 0.0e0 END AS arr
+FROM sums JOIN airports USING (origin)),
+ranking AS (
+SELECT *, {_half_even("(dep - airport)", 2)} AS diff,
+       row_number() OVER (PARTITION BY origin ORDER BY dep, carrier) AS pos
+FROM means)
+SELECT {_RANKING_COLUMNS} FROM ranking"""
+
+
+_PAIR_NAMED = _named("origin", "op_unique_carrier")
+_ROUTE_NAMED = _named("origin", "op_unique_carrier", "dest")
+_JOB_RANKING_SQL = _raw_flights(
+    f"""{_PAIR_NAMED} AND {_fine("cancelled")}
+    AND (coalesce({_FLAG} <> 0, true) OR ({_fine("dep_delay")} AND {_fine("arr_delay")}))"""
+)
+_JOB_ROUTE_ARR = _raw_flights(
+    f"""{_ROUTE_NAMED} AND TRY_CAST({_strip("month")} AS INTEGER) IS NOT NULL AND {_FLAG} IS NOT NULL
+    AND (trunc({_FLAG}) = 1 OR {_fine("arr_delay")})"""
+)
+_JOB_ROUTE_DEP = _raw_flights(
+    f"""{_ROUTE_NAMED} AND {_MONTH_FINE} AND {_fine("cancelled")}
+    AND (coalesce({_FLAG} <> 0, true) OR {_fine("dep_delay")})"""
+)
+
+
 def _by_route(columns: str) -> str:
     return f"{_VOLI} SELECT {_ROUTE_KEYS}, {columns} FROM voli {_ROUTE_GROUP}"
 
@@ -207,6 +277,23 @@ ORACLE: dict[str, str] = {
     "resolve_columns": _VOLI_RAW + "SELECT * FROM voli_raw",
     "clean_flights": f"""{_VOLI_RAW}, typed AS ({_TYPED})
 SELECT * FROM typed WHERE op_unique_carrier <> 'op_unique_carrier' AND {_KEYS_FILLED}""",
+    "resolve_mixed_files": _VOLI + "SELECT * FROM voli",
+    "sink_csv_raw_roundtrip": _VOLI_RAW + "SELECT * FROM voli_raw",
+    "sink_overwrite": f"""{_VOLI} SELECT origin, avg({_or_zero("dep_delay")}) AS airport_mean
+FROM voli WHERE cancelled = 0 GROUP BY origin""",
+    "job_ranking_sql": f"{_JOB_RANKING_SQL}{_RANKING_SQL} SELECT {_RANKING_COLUMNS} FROM ranking",
+    "job_ranking_zero_excl": _job_ranking_zero(
+        f"{_PAIR_NAMED} AND ({_FLAG_OR_0} <> 0 OR {_fine('arr_delay')})", "cancelled = 0", 2
+    ),
+    "job_ranking_zero_incl": _job_ranking_zero(
+        f"{_PAIR_NAMED} AND {_fine('arr_delay')} AND {_fine('dep_delay')}", "true", None
+    ),
+    "job_route_stats_arr": _JOB_ROUTE_ARR + _ROUTE_ARR,
+    "job_route_stats_dep_flat": f"""{_JOB_ROUTE_DEP}
+SELECT * REPLACE (coalesce("Mesi", '') AS "Mesi") FROM ({_ROUTE_DEP_FLAT})""",
+    "job_airport_mean": f"""{_raw_flights(_AIRPORT_ROWS, _FLAG_OR_0)}
+SELECT origin, {_half_even(f"avg({_or_zero('dep_delay')})", 2)} AS airport_mean
+FROM voli WHERE cancelled = 0 GROUP BY origin""",
     "sink_json_roundtrip": f"{_VOLI}{_RANKING_SQL} SELECT {_RANKING_COLUMNS} FROM ranking",
     "sink_csv_roundtrip": _VOLI + _ROUTE_DEP_FLAT,
     "sink_text_roundtrip": _VOLI + _ZERO_DEDUPE + _RANKING_LINE,

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import functions as fn, operators as ops, sinks, sources
-from ..plans import ranking_preset, route_preset
+from ..plans import JOBS, ranking_preset, read_for, route_preset
 from ..schema import RANKING_LIST, RANKING_REPORT, ROUTE_KEYS, ROUTE_LIST
 from ..session import scratch_folder, write_and_reread
 from .voli import voli, voli_raw
@@ -91,11 +91,76 @@ def resolve_columns(spark: SparkSession, folder: str) -> DataFrame:
     return sources.resolve_columns(shuffled)
 
 
+def _raw_file(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "raw")
+    sinks.write_csv(voli_raw(spark, folder), path)
+    return path
+
+
 @_query
 def clean_flights(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_folder(spark, "clean_flights")
-    sinks.write_csv(voli_raw(spark, folder), path)
-    return sources.read_flights(spark, path)
+    return sources.read_flights(spark, _raw_file(spark, folder))
+
+
+@_query
+def resolve_mixed_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_folder(spark, "mixed")
+    flights = voli(spark, folder)
+    sinks.write_csv(flights.where("cancelled = 0"), f"{path}/part=a")
+    sinks.write_csv(flights.where("cancelled <> 0").select(*reversed(flights.columns)), f"{path}/part=b")
+    return sources.read_flights(spark, f"{path}/*")
+
+
+@_query
+def sink_csv_raw_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    schema = voli_raw(spark, folder).schema
+    return spark.read.options(header=True, **sources.DIALECT).schema(schema).csv(_raw_file(spark, folder))
+
+
+@_query
+def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_folder(spark, "sink_overwrite")
+    means = ops.operated_airport_means(voli(spark, folder))
+    sinks.write_csv(voli(spark, folder), path)
+    sinks.write_csv(means, path)
+    return spark.read.options(header=True, **sources.DIALECT).schema(means.schema).csv(path)
+
+
+# ---- jobs from a file with every kind of bad field
+
+
+def _job(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return JOBS[name].report(read_for(spark, JOBS[name], _raw_file(spark, folder)))
+
+
+@_query
+def job_ranking_sql(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "ranking_sql")
+
+
+@_query
+def job_ranking_zero_excl(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "ranking_zero_excl")
+
+
+@_query
+def job_ranking_zero_incl(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "ranking_zero_incl")
+
+
+@_query
+def job_route_stats_arr(spark: SparkSession, folder: str) -> DataFrame:
+    return _mesi_as_text(_job(spark, folder, "route_stats_arr"))
+
+
+@_query
+def job_route_stats_dep_flat(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "route_stats_dep_flat")
+
+
+@_query
+def job_airport_mean(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "airport_mean")
 
 
 @_query
@@ -176,8 +241,7 @@ def project_flights(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def drop_malformed(spark: SparkSession, folder: str) -> DataFrame:
-    # From a table, each raw column is a column; in line, its expression would be repeated in every test.
-    return ops.drop_malformed(write_and_reread(voli_raw(spark, folder), "raw"))
+    return ops.drop_malformed(sources.read_flights_text(spark, _raw_file(spark, folder)))
 
 
 @_query

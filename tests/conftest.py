@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from hand import HAND_CSV  # noqa: E402
-from skyledger.session import build_session  # noqa: E402
+from skyledger.session import build_session, release_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_scratch(session)
     session.stop()
 
 

@@ -6,8 +6,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from skyledger.workloads.queries import QUERIES
 from skyledger import RANKING_PRESETS, ROUTE_PRESETS, ranking_preset, read_flights, route_preset
+from skyledger.workloads.voli import voli
 
 FOLDER = "/root/testdata/sf0.001"
 FLIGHT = (
@@ -44,9 +45,9 @@ def exchanges(text):
     return re.findall(r"Exchange (hashpartitioning\([^)]*\))", text)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_worker_and_no_product_join(spark, name):
-    text = plan(contract.queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "MapPartitions"):
         assert node not in text, node
 
@@ -91,7 +92,7 @@ def test_unused_columns_are_not_read(flights):
 
 @pytest.mark.parametrize("name", ["ranking_zero_excl", "route_stats_arr", "join_airport_mean", "join_side_table"])
 def test_same_result_when_nothing_is_small_enough_to_broadcast(spark, conf, name):
-    query = contract.queries()[name]
+    query = QUERIES[name]
     broadcast = sorted(map(str, query(spark, FOLDER).collect()))
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     shuffled = query(spark, FOLDER)
@@ -111,3 +112,16 @@ def test_generated_code_can_be_compiled(spark, conf, tmp_path, name):
     code = getattr(debug, "MODULE$").codegenString(report(flights, name)._jdf.queryExecution().executedPlan())
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_no_fact_row_is_shuffled_by_a_nation(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(voli(spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_nation = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "nationkey" in line]
+    assert len(by_nation) == 4 and text.count("SortMergeJoin") == 6  # both sides of supplier and customer with nation
+    below = text[text.index("l_orderkey"):]
+    assert not any("nationkey" in line for line in below.splitlines() if "hashpartitioning(l_" in line)
