@@ -35,7 +35,7 @@ from skyledger.session import scratch_folder, write_and_reread
 #: Counts up to this are discounted by Good-Turing, larger ones lose TAIL of a count.
 CUT = 5
 TAIL = 0.5
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Keys that one task sums at a time.
 PART_KEYS = 1_000_000
 #: Neither is a word: the end of a text, and the context before its first word.
@@ -78,10 +78,10 @@ class Block:
     train: np.ndarray
 
     def __post_init__(self) -> None:
-        self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.document = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.learnt = self.train[self.document]
         first = np.cumsum(self.sizes) - self.sizes
-        self.context = np.empty_like(self.tokens)
+        self.context = np.empty_like(self.tokens)  # at most 2**32 words in a block
         self.context[1:] = self.tokens[:-1]
         self.context[first] = np.searchsorted(self.vocabulary, np.uint64(word_hash(START)))
 
@@ -95,10 +95,11 @@ class Block:
         """Sorted hashes of the distinct pairs, their training counts, one place of each, and each token's pair."""
         pair = self.context.astype(np.int64) * len(self.vocabulary) + self.tokens
         _, place, of = np.unique(pair, return_index=True, return_inverse=True)
+        del pair
         key = pair_hash(self.vocabulary[self.context[place]], self.vocabulary[self.tokens[place]])
         order = np.argsort(key, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         of = rank[of]
         return key[order], np.bincount(of[self.learnt], minlength=len(order)).astype(np.uint32), place[order], of
 
@@ -356,7 +357,7 @@ def katz_scores(docs: DataFrame, train: Column) -> DataFrame:
                 )
                 # contexts that must back off, by document; a context that training lacks has weight 1
                 open_tokens = np.flatnonzero(~seen & (s.count[b.context] > 0))
-                asked = b.document[open_tokens] * len(b.vocabulary) + b.context[open_tokens]
+                asked = b.document[open_tokens].astype(np.int64) * len(b.vocabulary) + b.context[open_tokens]
                 asked, times = np.unique(asked, return_counts=True)
                 n = len(asked)
                 yield pa.RecordBatch.from_pydict(
