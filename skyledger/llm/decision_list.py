@@ -214,8 +214,8 @@ def learn_quality(measured: DataFrame, labels: DataFrame, sample: int = 20_000,
     values = joined.select(
         hash_key(F.lit("quality"), F.col("doc_id")).alias("key"), "doc_id", "quality", *[F.expr(e).alias(f) for f, e in FEATURES.items()]
     )
-    rows = values.orderBy("key", "doc_id", *FEATURES).limit(sample).toPandas()
-    return learn_list({f: rows[f].to_numpy(dtype=float) for f in FEATURES}, (rows["quality"] == 0).to_numpy(), **options)
+    rows = values.orderBy("key", "doc_id", *FEATURES).limit(sample).toArrow()
+    return learn_list({f: rows[f].to_numpy().astype(float) for f in FEATURES}, rows["quality"].to_numpy() == 0, **options)
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -260,23 +260,38 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def fit(landmarks: Landmarks, vectors: list[np.ndarray], toxic: np.ndarray, cost: float = 10.0, rounds: int = 6, spoilt: Sequence[np.ndarray] = ()) -> Model:
-    """Train on documents, each a matrix of sentence vectors, and their labels; ``spoilt`` has each document's other vectors."""
-    white, alone = whitening(landmarks.words), toxic
-    both = [*vectors, *spoilt]
-    toxic = np.resize(toxic, len(both))
+def highest(margin: np.ndarray, sizes: np.ndarray, other: float) -> tuple[np.ndarray, np.ndarray]:
+    """Highest margin of each document and where it stands; ``other`` and -1 if no sentence has a higher one."""
+    place = np.full(len(sizes), -1)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        starts = (np.cumsum(sizes) - sizes)[some]
+        order = np.lexsort((np.arange(len(margin)), -margin, np.repeat(np.arange(len(some)), sizes[some])))
+        place[some] = order[starts]
+    best = np.where(place >= 0, margin[place] if len(margin) else other, other)
+    return np.maximum(best, other), np.where(best > other, place, -1)
+
+
+def fit(landmarks: Landmarks, x: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, n: int, cost: float = 10.0, rounds: int = 6) -> Model:
+    """Train on documents: ``x`` has their sentences' vectors one after the other, ``sizes`` how many each has.
+
+    Every document also has a sentence that is far from all landmarks. The first ``n`` documents are those as written,
+    by which margins become probabilities.
+    """
+    white = whitening(landmarks.words)
     y = np.where(toxic, 1.0, -1.0)
     weight = np.where(toxic, len(y) / 2 / max(1, toxic.sum()), len(y) / 2 / max(1, (~toxic).sum()))
-    zero = np.zeros((1, len(landmarks.words)))
-    bags = [np.vstack([v, zero]) for v in both]
     beta, bias = np.ones(len(landmarks.words)), 0.0
+    chosen = np.zeros((len(y), len(landmarks.words)))
     for _ in range(rounds):
-        chosen = np.array([bag[int((bag @ beta).argmax())] for bag in bags])
+        _, place = highest(x @ beta, sizes, 0.0)
+        chosen[:] = 0.0
+        chosen[place >= 0] = x[place[place >= 0]]
         found = fit_svm(chosen @ white, y, weight, cost)
         beta, bias = white @ found[:-1], float(found[-1])
-    model = Model(landmarks, beta, bias, 1.0, 0.0)
-    model.slope, model.offset = fit_probability(model.margins(vectors), np.where(alone, 1.0, -1.0))
-    return model
+    margin, _ = highest(x @ beta, sizes, 0.0)
+    slope, offset = fit_probability(margin[:n] + bias, y[:n])
+    return Model(landmarks, beta, bias, slope, offset)
 
 
 def held_out(folds: int = 5) -> Column:
@@ -323,17 +338,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, landmarks: int
         near = Landmarks(names)
         for batch in small_batches(batches, "text"):
             texts = batch["text"].to_pylist()
-            flat = [[v.ravel() for v in near.vectors(texts, spoilt)] for spoilt in (False, True)]
-            kinds = pa.list_(pa.float64())
+            flat = [[v.ravel().astype(np.float32) for v in near.vectors(texts, spoilt)] for spoilt in (False, True)]
+            kinds = pa.list_(pa.float32())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["toxic"], pa.array(flat[0], kinds), pa.array(flat[1], kinds)], ["doc_id", "toxic", "plain", "spoilt"]
             )
 
     kinds = dict(rows.dtypes)
-    schema = f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, plain array<double>, spoilt array<double>"
-    found = arrow_map(rows, embed, schema).toPandas().sort_values("doc_id")
-    plain, spoilt = ([np.asarray(v, dtype=float).reshape(-1, len(names)) for v in found[c]] for c in ("plain", "spoilt"))
-    return fit(Landmarks(names), plain, (found["toxic"] > 0).to_numpy(), spoilt=spoilt)
+    schema = f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, plain array<float>, spoilt array<float>"
+    found = arrow_map(rows, embed, schema).orderBy("doc_id").toArrow()
+    lists = [found[c].combine_chunks() for c in ("plain", "spoilt")]
+    x = np.concatenate([v.flatten().to_numpy().reshape(-1, len(names)) for v in lists])
+    sizes = np.concatenate([np.diff(v.offsets.to_numpy()) for v in lists]) // len(names)
+    toxic_rows = found["toxic"].to_numpy() > 0
+    return fit(Landmarks(names), x, sizes, np.tile(toxic_rows, 2), len(toxic_rows))
 
 
 def scored(docs: DataFrame, model: Model, with_rows: bool = False) -> DataFrame:
