@@ -208,6 +208,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks: int = 5) -> DataFrame:
     """``docs`` with one row of each component left: the one of least ``doc_id``, any one of repeated rows."""
     rows = write_and_reread(fingerprinted(docs, shingle, with_rows=True), "simhash-rows")
-    found = _components(rows.select("doc_id", "fp"), radius, blocks)
-    kept = rows.join(found, "fp").filter("doc_id <=> component_id").dropDuplicates(["label"])
+    ids = rows.select("doc_id", "fp")
+    found = _components(ids, radius, blocks)
+    # One fingerprint of each component's least id, found without the texts; they are shuffled once, to meet it.
+    chosen = ids.join(found, "fp").filter("doc_id <=> component_id").groupBy("label", "component_id").agg(F.min("fp").alias("fp"))
+    chosen = write_and_reread(chosen.select("fp", "component_id"), "kept-fingerprints")
+    kept = rows.join(chosen, "fp").filter("doc_id <=> component_id").dropDuplicates(["fp"])
     return kept.select("row.*")

@@ -120,7 +120,7 @@ class Encoder:
         return ids
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column`` at the most, one row at the least."""
     for batch in batches:
         sizes = pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False)
