@@ -210,7 +210,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blo
     rows = write_and_reread(fingerprinted(docs, shingle, with_rows=True), "simhash-rows")
     ids = rows.select("doc_id", "fp")
     found = _components(ids, radius, blocks)
-    # One fingerprint of each component's least id, found without the texts; they are shuffled once, to meet it.
+    # One fingerprint of each component's least id, found without the texts. They meet it by id and fingerprint, so
+    # copies of one text spread over many tasks; what is left, one text of each component and repeated rows, moves once more.
     chosen = ids.join(found, "fp").filter("doc_id <=> component_id").groupBy("label", "component_id").agg(F.min("fp").alias("fp"))
     chosen = write_and_reread(chosen.select("fp", "component_id"), "kept-fingerprints")
     kept = rows.join(chosen, "fp").filter("doc_id <=> component_id").dropDuplicates(["fp"])
