@@ -96,26 +96,42 @@ def numbered(df: DataFrame, order: Column, out: str) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: ``(node, label)``, label the least node.
 
-    Each round takes the least label among a node and its neighbours, then follows labels
-    of labels; both need joins and aggregates only, and the state is written after each round.
+    Each round hangs every node below the least of itself and its neighbours, jumps to the roots of the trees
+    that this makes, and goes on with the links between roots until none is left. A root that has won no node is next
+    to a lower one in the next round, so two rounds at least halve the nodes, and a tree's depth is halved by
+    each jump: rounds grow with the logarithm of a component's size, whatever its shape.
     """
-    both = edges.filter("a <> b").select("a", "b")
-    both = write_and_reread(both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = write_and_reread(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels"
-    )
-    for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels.node == near.a).select("node", "label", F.least("label", "near").alias("low"))
-        jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        found = write_and_reread(
-            lower.join(jump, "low", "left").select("node", F.coalesce("far", "low").alias("label"), F.col("label").alias("old")),
-            "labels",
-        )
+    links = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = write_and_reread(links, "edges")
+    levels: list[DataFrame] = []
+    while not levels or not links.isEmpty():
+        both = links.union(links.select("b", "a"))
+        roots = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label"))
+        roots = _to_roots(write_and_reread(roots, "labels"))
+        levels.append(roots)
+        for end in ("a", "b"):
+            links = links.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
+        links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        links = write_and_reread(links, "edges")
+    labels = levels.pop()
+    while levels:
+        labels = write_and_reread(_follow(levels.pop(), labels).drop("old"), "labels")
+    return labels
+
+
+def _follow(labels: DataFrame, further: DataFrame) -> DataFrame:
+    """``node, label, old``: each label replaced by its own in ``further``, if it has one there."""
+    step = further.select(F.col("node").alias("old"), F.col("label").alias("far"))
+    return labels.withColumnRenamed("label", "old").join(step, "old", "left").select("node", F.coalesce("far", "old").alias("label"), "old")
+
+
+def _to_roots(labels: DataFrame) -> DataFrame:
+    """Labels of labels until nothing changes."""
+    while True:
+        found = write_and_reread(_follow(labels, labels), "labels")
         labels = found.select("node", "label")
         if found.filter("label <> old").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
