@@ -3,14 +3,16 @@
 The kernel of two words counts their common three-letter subsequences. One that spans ``s``
 letters weighs ``DECAY ** s``, so letters put between those of an insult lower the kernel little by
 little instead of hiding it. The kernel is normalized and raised to a power, which is again a
-kernel, and is summed over the words of two sentences. Landmarks are words that go with the
+kernel, and is summed over the words of two sentences. Many letters put in make subsequences of their own, which
+weigh the kernel down. So a word that has all letters of a landmark in their order counts with it by the
+share of letters put in (``read_as``), where that is more than the kernel. Landmarks are words that go with the
 label; a sentence becomes the vector of its kernels with them, whitened by the landmarks' own
 kernel matrix (Nyström), on which a linear support vector machine is trained.
 
 Labels are given by document and insults stand in single sentences. So a document counts as its
 highest sentence, which is chosen anew after each fit, and its margin becomes a probability. Every
-training document counts a second time with a letter put into each word that is near a landmark, so that
-the machine learns how far a spoilt insult may stray.
+training document counts again with one letter, with three letters and with one in every gap put into each word that is near a
+landmark, so that the machine learns how far a spoilt insult may stray.
 """
 
 from __future__ import annotations
@@ -34,8 +36,12 @@ DECAY = 0.8
 #: Three letters of a subsequence lie within this many positions of the first.
 SPAN = 7
 POWER = 4
-#: Kernels below this count as zero, which spares most words.
+#: Kernels and readings below this count as zero, which spares most words.
 FLOOR = 0.5**POWER
+#: What a landmark's reading is worth in a word with as many letters put in as it has itself.
+READING = 0.55
+#: Letters put into the words of the training copies; one in every gap if there are fewer gaps.
+COPIES = (1, 3, 10**6)
 _STOPS = (b".", b"!", b"?")
 #: Second UTF-8 bytes of accented Latin letters, each with the plain letter; their first byte goes.
 _ACCENTS = {"a": range(0xA0, 0xA6), "c": [0xA7], "e": range(0xA8, 0xAC), "i": range(0xAC, 0xB0), "n": [0xB1], "o": range(0xB2, 0xB7), "u": range(0xB9, 0xBD), "s": [0x9F]}
@@ -71,9 +77,23 @@ def subsequences(word: bytes) -> dict[tuple[int, int, int], float]:
     return out
 
 
-def spoil(word: bytes) -> bytes:
-    """The word with a letter put into its middle."""
-    return word[: len(word) // 2] + bytes([97 + zlib.crc32(word) % 26]) + word[len(word) // 2 :]
+def spoil(word: bytes, letters: int = 1) -> bytes:
+    """The word with letters put in at even distances, one into its middle, at most one into each gap."""
+    n = max(1, min(letters, len(word) - 1))
+    cuts = [0, *(len(word) * (i + 1) // (n + 1) for i in range(n)), len(word)]
+    salt = zlib.crc32(word)
+    return b"".join(word[a:b] + bytes([97 + (salt + 7 * i) % 26] if i < n else b"") for i, (a, b) in enumerate(zip(cuts, cuts[1:])))
+
+
+def read_as(word: bytes, landmark: bytes) -> float:
+    """``READING`` to the power of the share of letters put in; 0 if the word isn't the landmark with letters put in."""
+    place = -1
+    for c in landmark:
+        place = word.find(c, place + 1)
+        if place < 0:
+            return 0.0
+    value = READING ** (len(word) / len(landmark) - 1)
+    return value if len(word) > len(landmark) and value >= FLOOR else 0.0
 
 
 def kernel(a: bytes, b: bytes) -> float:
@@ -90,14 +110,24 @@ def _codes(data: bytes) -> np.ndarray:
     return np.where(raw >= 97, raw - 96, 0)
 
 
+def _letters(word: bytes) -> int:
+    """The set of a word's letters as bits."""
+    out = 0
+    for c in set(word):
+        out |= 1 << (c - 96 & 31)
+    return out
+
+
 @dataclass
 class Landmarks:
     """Kernels of many words with the landmarks at once."""
 
     words: list[bytes]
     active: dict[bytes, np.ndarray | None] = field(default_factory=dict, repr=False)
+    readings: dict[bytes, np.ndarray] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
+        self.masks = np.array([_letters(w) for w in self.words], dtype=np.int64)
         maps = [subsequences(w) for w in self.words]
         self.norms = np.array([math.sqrt(sum(v * v for v in m.values())) for m in maps])
         triples = sorted({t for m in maps for t in m})
@@ -119,7 +149,7 @@ class Landmarks:
         return {"words": self.words}
 
     def __setstate__(self, state: dict) -> None:
-        self.words, self.active = state["words"], {}
+        self.words, self.active, self.readings = state["words"], {}, {}
         self.__post_init__()
 
     def raw(self, words: list[bytes]) -> np.ndarray:
@@ -149,6 +179,7 @@ class Landmarks:
         """Find the kernels of words not met before; remember only those with one above the floor."""
         if len(self.active) > 500_000:
             self.active.clear()
+            self.readings.clear()
         new = [w for w in words if w not in self.active and len(w) > 2]
         if not self.words:
             return
@@ -168,15 +199,34 @@ class Landmarks:
                     value[value < FLOOR] = 0.0
                     if value.any():
                         self.active[w] = value
-
-    def vectors(self, texts: list[str | None], spoilt: bool = False) -> list[np.ndarray]:
+            self.read(some, length)
+
+    def read(self, words: list[bytes], length: np.ndarray) -> None:
+        """Remember the words that are landmarks with letters put in."""
+        masks = np.array([_letters(w) for w in words], dtype=np.int64)
+        most = math.log(FLOOR) / math.log(READING) + 1
+        for m, landmark in enumerate(self.words):
+            fits = (self.masks[m] & ~masks == 0) & (length > len(landmark)) & (length <= most * len(landmark) + 1)
+            for i in np.flatnonzero(fits):
+                value = read_as(words[i], landmark)
+                if value:
+                    self.readings.setdefault(words[i], np.zeros(len(self.words)))[m] = value
+
+    def value(self, word: bytes) -> np.ndarray | None:
+        """A learnt word's kernels or readings, whichever is more; None if all are zero."""
+        kernels, readings = self.active.get(word), self.readings.get(word)
+        if kernels is None or readings is None:
+            return kernels if readings is None else readings
+        return np.maximum(kernels, readings)
+
+    def vectors(self, texts: list[str | None], spoilt: int = 0) -> list[np.ndarray]:
         """For each text the kernel sums of its sentences that are not all zero; duplicates of a sentence once.
 
-        With ``spoilt``, a letter has been put into each word that is near a landmark.
+        With ``spoilt``, so many letters have been put into each word that is near a landmark.
         """
         words = [fold(t.encode()).split() if t else [] for t in texts]
         self.learn(set().union(*words))
-        get = self.active.get
+        get = self.value
         near = {w for w in set().union(*words) if get(w) is not None}
         out = []
         for text, own in zip(texts, words, strict=True):
@@ -188,7 +238,7 @@ class Landmarks:
                         found[hit] = None
             out.append(list(found))
         if spoilt:
-            out = [[tuple(spoil(w) for w in hit) for hit in found] for found in out]
+            out = [[tuple(spoil(w, spoilt) for w in hit) for hit in found] for found in out]
             self.learn({w for found in out for hit in found for w in hit})
         nothing = np.zeros(len(self.words))
         rows = [[sum((v for w in hit if (v := get(w)) is not None), nothing) for hit in found] for found in out]
@@ -334,24 +384,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, landmarks: int
         return Model.constant(toxic / n)
     names = [r["word"].encode() for r in top]
 
+    names_of = [f"copy{i}" for i in range(len(COPIES) + 1)]
+
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = Landmarks(names)
         for batch in small_batches(batches, "text"):
             texts = batch["text"].to_pylist()
-            flat = [[v.ravel().astype(np.float32) for v in near.vectors(texts, spoilt)] for spoilt in (False, True)]
+            flat = [[v.ravel().astype(np.float32) for v in near.vectors(texts, spoilt)] for spoilt in (0, *COPIES)]
             kinds = pa.list_(pa.float32())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["toxic"], pa.array(flat[0], kinds), pa.array(flat[1], kinds)], ["doc_id", "toxic", "plain", "spoilt"]
-            )
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], *(pa.array(f, kinds) for f in flat)], ["doc_id", "toxic", *names_of])
 
     kinds = dict(rows.dtypes)
-    schema = f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, plain array<float>, spoilt array<float>"
+    schema = f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, " + ", ".join(f"{c} array<float>" for c in names_of)
     found = arrow_map(rows, embed, schema).orderBy("doc_id").toArrow()
-    lists = [found[c].combine_chunks() for c in ("plain", "spoilt")]
+    lists = [found[c].combine_chunks() for c in names_of]
     x = np.concatenate([v.flatten().to_numpy().reshape(-1, len(names)) for v in lists])
     sizes = np.concatenate([np.diff(v.offsets.to_numpy()) for v in lists]) // len(names)
     toxic_rows = found["toxic"].to_numpy() > 0
-    return fit(Landmarks(names), x, sizes, np.tile(toxic_rows, 2), len(toxic_rows))
+    return fit(Landmarks(names), x, sizes, np.tile(toxic_rows, len(names_of)), len(toxic_rows))
 
 
 def scored(docs: DataFrame, model: Model, with_rows: bool = False) -> DataFrame:

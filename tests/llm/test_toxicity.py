@@ -110,3 +110,30 @@ def test_awkward(spark, awkward, nothing):
     assert drop_toxic(nothing, labels).collect() == []
     clean = toxicity_scores(awkward, labels.filter("toxic = 0")).collect()
     assert all(r.score < 1e-6 for r in clean)
+
+
+def gapped(word, letters):
+    return module.spoil(word.encode(), letters).decode()
+
+
+def test_letters_put_in():
+    assert module.spoil(b"idiot") == module.spoil(b"idiot", 1) and len(module.spoil(b"idiot", 3)) == 8
+    assert len(module.spoil(b"idiot", 99)) == 9 and module.spoil(b"idiot", 99)[::2] == b"idiot"
+    assert module.read_as(b"ixdxixoxt", b"idiot") > 0.5 > module.read_as(b"idiot", b"idiot") == module.read_as(b"toidi", b"idiot") == 0
+    some = sorted(set(words(400)))
+    near = Landmarks([b"abcab", b"dcba", b"aaa"])
+    near.learn(set(some))
+    for w in some:
+        if len(w) > 2:
+            assert (near.readings[w] if w in near.readings else np.zeros(3)).tolist() == [module.read_as(w, m) for m in near.words]
+
+
+def test_several_letters_put_in(corpus):
+    _, docs, labels = corpus
+    model = module.train(docs, labels)
+    listed = ["idxixot", "moxrxon", "ixdxixoxt", "sxcxuxm"]
+    spelt = listed + [gapped(w, n) for w in INSULTS for n in (1, 2, 3, 99)]
+    plain = [prose(i, 40) for i in range(2000, 2200)]
+    assert {w: s for w, s in zip(spelt, model.scores(spelt), strict=True) if s < 0.5} == {}
+    assert (model.scores([prose(1, 30) + " " + w for w in listed]) >= 0.5).all()
+    assert (model.scores(plain) < 0.5).mean() >= 0.99
