@@ -5,7 +5,7 @@ letters weighs ``DECAY ** s``, so letters put between those of an insult lower t
 little instead of hiding it. The kernel is normalized and raised to a power, which is again a
 kernel, and is summed over the words of two sentences. Many letters put in make subsequences of their own, which
 weigh the kernel down. So a word that has all letters of a landmark in their order counts with it by the
-share of letters put in (``read_as``), where that is more than the kernel. Landmarks are words that go with the
+share of letters put in (``read_as``), where that is more than the kernel, and letters set apart by blanks are joined where that makes a word near a landmark. Landmarks are words that go with the
 label; a sentence becomes the vector of its kernels with them, whitened by the landmarks' own
 kernel matrix (Nyström), on which a linear support vector machine is trained.
 
@@ -18,6 +18,7 @@ landmark, so that the machine learns how far a spoilt insult may stray.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -64,6 +65,23 @@ def sentences(text: str) -> list[list[bytes]]:
     return [fold(line).split() for line in data.split(b"\n")]
 
 
+#: Neighbouring words of one or two letters, three at least.
+_APART = re.compile(rb"(?<!\S)\S\S?(?:\s+\S\S?(?!\S)){2,}")
+#: Places in a run at which joined words start that are looked up at once.
+_STARTS = 10_000
+
+
+def apart(line: bytes) -> list[list[bytes]]:
+    """Runs of neighbouring words of one or two letters in a folded text, three words at least."""
+    return [run.split() for run in _APART.findall(line)]
+
+
+def are_letters(words: list[bytes]) -> bool:
+    """Whether neighbouring words are rather one word's letters: three at least, single ones twice as many as pairs."""
+    pairs = sum(len(w) > 1 for w in words)
+    return len(words) > 2 and 2 * pairs <= len(words) - pairs
+
+
 def subsequences(word: bytes) -> dict[tuple[int, int, int], float]:
     """Weight of each three-letter subsequence of a word."""
     out: dict[tuple[int, int, int], float] = {}
@@ -219,27 +237,56 @@ class Landmarks:
             return kernels if readings is None else readings
         return np.maximum(kernels, readings)
 
+    def joined(self, run: list[bytes]) -> list[bytes]:
+        """Words that letters of a run make up, each letter in the one nearest to a landmark, or in two at the edges of ``_STARTS``."""
+        longest = 2 * max(map(len, self.words), default=0)
+        out = []
+        for start in range(0, len(run), _STARTS):
+            cuts = []
+            for i in range(start, min(start + _STARTS, len(run))):
+                size = pairs = 0
+                for end in range(i, len(run)):
+                    size += len(run[end])
+                    pairs += len(run[end]) > 1
+                    if size > longest:
+                        break
+                    if end > i + 1 and 3 * pairs <= end + 1 - i:
+                        cuts.append((i, end + 1))
+            made = [b"".join(run[a:b]) for a, b in cuts]
+            self.learn(set(made))
+            worth = {w: float(v.max()) for w in set(made) if (v := self.value(w)) is not None}
+            taken: set[int] = set()
+            for word, (a, b) in sorted(((w, c) for w, c in zip(made, cuts, strict=True) if w in worth), key=lambda x: (-worth[x[0]], x[1])):
+                if taken.isdisjoint(range(a, b)):
+                    taken.update(range(a, b))
+                    out.append(word)
+        return out
+
     def vectors(self, texts: list[str | None], spoilt: int = 0) -> list[np.ndarray]:
         """For each text the kernel sums of its sentences that are not all zero; duplicates of a sentence once.
 
+        Letters set apart by blanks, line ends or stops make sentences of one word each.
         With ``spoilt``, so many letters have been put into each word that is near a landmark.
         """
-        words = [fold(t.encode()).split() if t else [] for t in texts]
+        lines = [fold(t.encode()) if t else b"" for t in texts]
+        words = [line.split() for line in lines]
         self.learn(set().union(*words))
         get = self.value
         near = {w for w in set().union(*words) if get(w) is not None}
         out = []
-        for text, own in zip(texts, words, strict=True):
+        for text, line, own in zip(texts, lines, words, strict=True):
             found: dict[tuple[bytes, ...], None] = {}
             if not near.isdisjoint(own):
                 for sentence in sentences(text):
                     hit = tuple(w for w in sentence if w in near)
                     if hit:
                         found[hit] = None
+            for run in apart(line):
+                found.update(dict.fromkeys((w,) for w in self.joined(run)))
             out.append(list(found))
         if spoilt:
             out = [[tuple(spoil(w, spoilt) for w in hit) for hit in found] for found in out]
-            self.learn({w for found in out for hit in found for w in hit})
+        self.learn({w for found in out for hit in found for w in hit})
         nothing = np.zeros(len(self.words))
         rows = [[sum((v for w in hit if (v := get(w)) is not None), nothing) for hit in found] for found in out]
         return [np.array(r).reshape(len(r), len(self.words)) for r in rows]
@@ -370,7 +417,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, landmarks: int
         for batch in small_batches(batches, "text"):
             found: tuple[Counter, Counter] = Counter(), Counter()
             for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-                found[bool(label)].update({w for w in fold((text or "").encode()).split() if len(w) > 2})
+                line = fold((text or "").encode())
+                whole = {b"".join(run) for run in apart(line) if are_letters(run)}
+                found[bool(label)].update({w for w in line.split() if len(w) > 2} | whole)
             words = sorted(found[0].keys() | found[1].keys())
             columns = [[w.decode("ascii") for w in words], [found[1][w] for w in words], [found[0][w] for w in words]]
             yield pa.RecordBatch.from_arrays(

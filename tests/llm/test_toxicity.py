@@ -137,3 +137,22 @@ def test_several_letters_put_in(corpus):
     assert {w: s for w, s in zip(spelt, model.scores(spelt), strict=True) if s < 0.5} == {}
     assert (model.scores([prose(1, 30) + " " + w for w in listed]) >= 0.5).all()
     assert (model.scores(plain) < 0.5).mean() >= 0.99
+
+
+def test_letters_set_apart(corpus):
+    _, docs, labels = corpus
+    assert module.apart(b"you m o r o n it is x") == [[b"m", b"o", b"r", b"o", b"n", b"it", b"is", b"x"]]
+    assert module.apart(b"one two ab cd three") == [] and not module.are_letters([b"i", b"do", b"it"])
+    model = module.train(docs, labels)
+    alone = [" ".join(w) for w in INSULTS] + ["S C U M", "m  o\tr o n", "m-o r. o n", "m. o. r. o. n.", "id i o t"]
+    among = ["you are a m o r o n if i do so", "w o r t h l e s s s c u m", "he is i d i o t of an " + prose(3, 20)]
+    assert {w: s for w, s in zip(alone + among, model.scores(alone + among), strict=True) if s < 0.5} == {}
+    clean = ["i do it as it is", "a b c d e f g h", "x y z", "so be it", prose(4, 40) + " e g a i"]
+    assert {w: s for w, s in zip(clean, model.scores(clean), strict=True) if s >= 0.5} == {}
+
+
+def test_long_run_of_letters(monkeypatch):
+    monkeypatch.setattr(module, "_STARTS", 7)
+    near = Landmarks([b"moron", b"idiot"])
+    run = list("xqzwv" * 20 + "moron" + "zqxk" * 30 + "idiot" + "vq")
+    assert set(near.joined([c.encode() for c in run])) >= {b"moron", b"idiot"}
