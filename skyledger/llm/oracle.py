@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from skyledger.llm.url_filter import BAD_NAMES, BUCKETS, DECAY, FACTORS, GOOD_NAMES, KINDS, ROUNDS
+
 #: Word sizes and MD5 order. Sources fill up in the order of cap / weight; the level a source would
 #: leave to the rest rises as long as sources are full and falls after that, so it is the greatest.
 MIX = r"""
@@ -63,4 +65,70 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS
 FROM embeddings e JOIN (SELECT vec_id, min(node) AS least FROM reach GROUP BY vec_id) r USING (vec_id)
 """
 
-ORACLE = {"op4_cap_filters": VECTORS, "op1_mix_sources": MIX, "op5_chat_format": CHAT}
+
+
+def _grams(codes: str, length: int, moved: int) -> str:
+    total = " + ".join([str(moved), *(f"{codes}[i + {n}] * {factor}" for n, factor in enumerate(FACTORS[:length]))])
+    return f"list_transform(range(1, len({codes}) - {length - 2}), lambda i: ({total}) % {BUCKETS})"
+
+
+def _names(names: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{name}'" for name in names) + "]"
+
+
+_FEATURES = "list_distinct(" + " || ".join(_grams(f"{part}_codes", n, moved) for part, n, moved in KINDS) + ")"
+_PARTS = r"""
+  coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+  list_transform(regexp_extract_all('.' || host || '.', '(?s).'), lambda c: unicode(c)::BIGINT) AS host_codes,
+  list_transform(regexp_extract_all(path, '(?s).'), lambda c: unicode(c)::BIGINT) AS path_codes
+"""
+
+#: The weights are the labelled urls' features times one coefficient each, as the descent starts from zero.
+URLS = f"""
+WITH RECURSIVE names AS (
+  SELECT 1 AS label, unnest(range(len(n)))::BIGINT AS i, unnest(n) AS name FROM (SELECT {_names(BAD_NAMES)} AS n)
+  UNION ALL SELECT 0, unnest(range(len(n)))::BIGINT, unnest(n) FROM (SELECT {_names(GOOD_NAMES)} AS n)),
+labelled AS (
+  SELECT label, (['http://', 'https://www.', 'https://m.', 'http://blog.', 'https://'])[i % 5 + 1] || name
+         || (['.example.com', '.example.net', '.example.org', '.test'])[i // 2 % 4 + 1] || '/'
+         || (['en', 'fr', 'de', 'es'])[i // 3 % 4 + 1] || '/' || CAST(1 + 37 * i AS VARCHAR) AS url
+  FROM names),
+learnt AS (
+  SELECT row_number() OVER (ORDER BY url) AS n, label::DOUBLE AS label, {_FEATURES} AS buckets FROM (SELECT label, url, {_PARTS} FROM labelled)),
+products AS (
+  SELECT a.n, list(len(list_intersect(a.buckets, b.buckets)) / sqrt((len(a.buckets) * len(b.buckets))::DOUBLE) ORDER BY b.n) AS inner_products
+  FROM learnt a, learnt b GROUP BY a.n),
+fixed AS (
+  SELECT (SELECT list(inner_products ORDER BY n) FROM products) AS products, (SELECT list(label ORDER BY n) FROM learnt) AS labels,
+         (SELECT 4 / greatest(max(list_sum(inner_products)), 1) FROM products) AS step),
+descent(round, parts) AS (
+  SELECT 0, (SELECT list_transform(labels, lambda x: 0::DOUBLE) FROM fixed)
+  UNION ALL
+  SELECT round + 1, list_transform(products, lambda row, i:
+           parts[i] * (1 - {DECAY}::DOUBLE) + step * (labels[i] - 1 / (1 + exp(-list_dot_product(row, parts)))))
+  FROM descent, fixed WHERE round < {ROUNDS}),
+parts AS (
+  SELECT unnest(range(1, len(parts) + 1)) AS n, unnest(parts) AS part FROM descent WHERE round = {ROUNDS}),
+weights AS (
+  SELECT bucket, sum(share) AS weight
+  FROM (SELECT unnest(buckets) AS bucket, part / sqrt(len(buckets)::DOUBLE) AS share FROM learnt JOIN parts USING (n)) GROUP BY bucket),
+judged AS (
+  SELECT row_number() OVER () AS place, page_id, host, path, {_FEATURES} AS buckets FROM (SELECT page_id, {_PARTS} FROM pages)),
+scores AS (
+  SELECT place, sum(weight) AS total FROM (SELECT place, unnest(buckets) AS bucket FROM judged) JOIN weights USING (bucket) GROUP BY place),
+ruled AS (
+  SELECT j.*, coalesce(total, 0) / sqrt(greatest(len(buckets), 1)::DOUBLE) AS score,
+         CASE WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+              WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+              WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+              WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+              WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM judged j LEFT JOIN scores USING (place))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN score > 0 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLE = {"op4_cap_filters": VECTORS, "op1_mix_sources": MIX, "op5_chat_format": CHAT, "op13_url_filter": URLS}

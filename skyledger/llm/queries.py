@@ -18,6 +18,7 @@ from skyledger.llm.simhash import near_duplicates
 from skyledger.llm.token_files import token_file_digests
 from skyledger.llm.tokens import tokenizer_path
 from skyledger.llm.toxicity import toxicity_scores
+from skyledger.llm.url_filter import Rule, default_labels, judge_urls
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +68,17 @@ def op10_shard_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=8)
 
 
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [
+        Rule("allow", "org"),
+        Rule("block", "example.org", "/es/"),
+        Rule("block", "example.org", "/en/1"),
+        Rule("allow", "com", "/fr/"),
+        Rule("block", "com", "/de/"),
+    ]
+    return judge_urls(table(spark, folder, "pages"), rules, default_labels(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
@@ -78,4 +90,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
+    "op13_url_filter": op13_url_filter,
 }

@@ -1,0 +1,118 @@
+import math
+
+import pytest
+
+from skyledger.llm.url_filter import BUCKETS, DECAY, FACTORS, KINDS, ROUNDS, Rule, default_labels, judge_urls, url_weights
+
+RULES = [Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
+URLS = [
+    None,
+    "",
+    "no scheme/at all",
+    "http://",
+    "http://a.B.Example.ORG/es/1",
+    "http://notexample.org/es/1",
+    "http://example.org/en/12?x=/es/",
+    "ftp://user@HOST.com:80/fr/1#/de/",
+    "http://x.com/de/",
+    "http://com/de/",
+    "http://x.org",
+    "http://x.org?a=http://y.com/de/",
+    "HTTPS://WWW.Casino-Games.NET/EN/1",
+    "https://weather-report.example.net/en/1",
+    "http://bücher.example.net/é\U0001f600/\n/x",
+    "http://x.com/de/#://y.org/",
+    "http://long.net/" + "ab/" * 20_000,
+]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host_end = min([i for i in map(rest.find, "/?#") if i >= 0], default=len(rest))
+    path = rest[host_end:]
+    return "".join(c.lower() if c.isascii() else c for c in rest[:host_end]), path[: min([i for i in map(path.find, "?#") if i >= 0], default=len(path))]
+
+
+def buckets(url):
+    host, path = parts(url)
+    found = set()
+    for part, n, moved in KINDS:
+        text = f".{host}." if part == "host" else path
+        found |= {(moved + sum(ord(c) * f for c, f in zip(text[i : i + n], FACTORS))) % BUCKETS for i in range(len(text) - n + 1)}
+    return found
+
+
+def plain_model(labelled):
+    """Gradient descent on the weights themselves, one per bucket."""
+    rows = [(buckets(url), label) for url, label in labelled]
+    unit = [1 / math.sqrt(max(len(b), 1)) for b, _ in rows]
+    step = 4 / max(sum(len(a & b) * u * v for (b, _), v in zip(rows, unit)) for (a, _), u in zip(rows, unit))
+    weights = {}
+    for _ in range(ROUNDS):
+        misses = [y - 1 / (1 + math.exp(-u * sum(weights.get(i, 0.0) for i in b))) for (b, y), u in zip(rows, unit)]
+        weights = {i: w * (1 - DECAY) for i, w in weights.items()}
+        for (b, _), u, miss in zip(rows, unit, misses):
+            for i in b:
+                weights[i] = weights.get(i, 0.0) + step * miss * u
+    return weights
+
+
+def test_against_plain_descent(spark):
+    labelled = default_labels(spark)
+    weights = plain_model([(r.url, r.label) for r in labelled.collect()])
+    found = {r.bucket: r.weight for r in url_weights(labelled).collect()}
+    assert found.keys() == weights.keys() and all(found[i] == pytest.approx(w, abs=1e-9) for i, w in weights.items())
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    for row in judge_urls(pages, RULES, labelled).collect():
+        host, path = parts(row.url)
+        fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.text), default=None)
+        known = buckets(row.url)
+        score = sum(weights.get(i, 0.0) for i in known) / math.sqrt(max(len(known), 1))
+        assert (row.host, row.path, row.rule) == (host, path, best and best.text), row.url
+        assert row.score == pytest.approx(score, abs=1e-9)
+        assert row.verdict == (best.verdict if best else "block" if score > 0 else "allow"), row.url
+
+
+def test_unseen_names(spark):
+    """Names that hold a labelled name's part or none of them, which are not in the labelled table."""
+    bad = ["casino-night", "mobile-casino", "adult-chat", "pokerking", "viagra-shop", "free-pills", "porn-hd", "slots-world", "warezland"]
+    good = ["morning-star", "reader", "gardening", "zurich", "harvest", "nationwide", "schoolbook", "uvwz", "kitchenware", "rivers"]
+    pages = spark.createDataFrame([(n, f"https://{n}.example.net/en/7") for n in bad + good], "name string, url string")
+    verdicts = {r.name: r.verdict for r in judge_urls(pages, [], default_labels(spark)).collect()}
+    assert [n for n in bad if verdicts[n] != "block"] + [n for n in good if verdicts[n] != "allow"] == []
+
+
+def test_awkward(spark):
+    names = "page_id long, url string, host int, path string, rule string, verdict string, score string, bucket string, `c0` string, rows string"
+    row = ("clash",) * 5
+    pages = spark.createDataFrame([(1, "http://a.org/", 7, "x", *row, "r"), (1, "http://a.org/", 7, "x", *row, "r"), (None, None, None, None, *row, None)], names)
+    judged = judge_urls(pages, RULES, default_labels(spark))
+    assert sorted(judged.columns) == sorted(pages.columns)
+    assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, r.c0) for r in judged.collect()), key=str) == [
+        (1, "a.org", "/", "org/", "allow", "clash"),
+        (1, "a.org", "/", "org/", "allow", "clash"),
+        (None, "", "", None, "allow", "clash"),
+    ]
+    assert judge_urls(pages.limit(0), RULES, default_labels(spark)).collect() == []
+
+
+def test_labels(spark):
+    """No labels at all: no weights, and the even odds allow. Rows without a label don't count; too many are an error."""
+    none = spark.createDataFrame([("http://a.org/", None)], "url string, label int")
+    assert url_weights(none).collect() == [] == url_weights(none.limit(0)).collect()
+    pages = spark.createDataFrame([("http://casino.net/",)], "url string")
+    assert [r.verdict for r in judge_urls(pages, [], none).collect()] == ["allow"]
+    odd = spark.createDataFrame([(None, 1), ("", 0), (None, 1)], "url string, label int")
+    assert url_weights(odd).collect() == []  # neither has an n-gram
+    many = spark.range(1001).selectExpr("concat('http://x.net/', id) url", "0 label")
+    with pytest.raises(Exception, match="more than 1000"):
+        url_weights(many).collect()
+
+
+def test_no_python_workers(spark):
+    pages = spark.createDataFrame([("http://casino.net/",)], "url string")
+    plan = judge_urls(pages, RULES, default_labels(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange", "Join"))
