@@ -77,6 +77,29 @@ def running_total(
     )
 
 
+def with_key_total(df: DataFrame, key: str, value: str, out: str, most: int = 1024) -> DataFrame:
+    """Each row with the sum of ``value`` over the rows of equal ``key``, nulls together.
+
+    Keys with more than one in ``most`` of all rows, of which there are fewer than ``most``, are looked up in a small
+    table; the rows of the others meet their sum by a shuffle, in which no key is heavy. ``df`` is read several times: pass a written table.
+    """
+    totals = write_and_reread(df.groupBy(F.col(key).alias("_key")).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("_rows")), "totals")
+    rows = totals.agg(F.sum("_rows")).first()[0] or 0
+    heavy = totals.filter(F.col("_rows") * most > rows)
+    light = totals.filter(F.col("_rows") * most <= rows)
+    by_key = F.col(key).eqNullSafe(F.col("_key"))
+    looked_up = df.join(F.broadcast(heavy), by_key, "left")
+    others = looked_up.filter(F.col("_rows").isNull()).select(*df.columns)
+    met = others.join(light, by_key).drop("_key", "_rows")
+    return looked_up.filter(F.col("_rows").isNotNull()).drop("_key", "_rows").unionByName(met)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``scratch_folder`` gave the path of and that nothing will read again."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def numbered(df: DataFrame, order: Column, out: str) -> DataFrame:
     """Position from 0 along ``order`` over all rows, without one task that sees them all.
 

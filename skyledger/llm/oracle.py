@@ -131,4 +131,49 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-ORACLE = {"op4_cap_filters": VECTORS, "op1_mix_sources": MIX, "op5_chat_format": CHAT, "op13_url_filter": URLS}
+
+def _codebooks(rounds: int) -> str:
+    """Lloyd's rounds over parts ``n, p, x``: codes_0 to codes_<rounds> and books_0 to books_<rounds>."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+codes_{r} AS (
+  SELECT n, p, least % 16 AS e, least // 16 AS error
+  FROM (SELECT a.n, a.p, min(list_sum(list_transform(a.x, lambda v, i: (v - b.c[i]) * (v - b.c[i])))::BIGINT * 16 + b.e) AS least
+        FROM pieces a JOIN books_{r} b USING (p) GROUP BY a.n, a.p))""")
+        if r < rounds:
+            steps.append(f"""
+sums_{r} AS (
+  SELECT p, e, i, sum(v) AS s, count(*) AS k
+  FROM (SELECT p, e, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM pieces JOIN codes_{r} USING (n, p)) GROUP BY ALL),
+books_{r + 1} AS (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+  FROM books_{r} b LEFT JOIN (
+    SELECT p, e, list((((s - ((s % k) + k) % k)) // k)::BIGINT ORDER BY i) AS c FROM sums_{r} GROUP BY p, e) m USING (p, e))""")
+    return ",".join(steps)
+
+
+CODES = f"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS n FROM whole WHERE len(x) = (SELECT max(len(x)) FROM whole)),
+pieces AS (
+  SELECT n, p, x[p * len(x) // 8 + 1:(p + 1) * len(x) // 8] AS x FROM numbered, (SELECT unnest(range(8)) AS p)),
+books_0 AS (
+  SELECT p, n - 1 AS e, x AS c FROM pieces WHERE n <= 16),{_codebooks(6)},
+coded AS (
+  SELECT n, string_agg(lpad(lower(hex(e)), 2, '0'), '' ORDER BY p) AS code, sum(error)::BIGINT AS error FROM codes_6 GROUP BY n)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM books_6) AS codebooks_sha256
+FROM coded JOIN numbered USING (n)
+"""
+
+ORACLE = {
+    "op4_cap_filters": VECTORS,
+    "op1_mix_sources": MIX,
+    "op5_chat_format": CHAT,
+    "op11_vector_codes": CODES,
+    "op13_url_filter": URLS,
+}

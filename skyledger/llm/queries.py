@@ -19,6 +19,7 @@ from skyledger.llm.token_files import token_file_digests
 from skyledger.llm.tokens import tokenizer_path
 from skyledger.llm.toxicity import toxicity_scores
 from skyledger.llm.url_filter import Rule, default_labels, judge_urls
+from skyledger.llm.vector_codes import vector_code_digests
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,6 +69,10 @@ def op10_shard_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=8)
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_code_digests(table(spark, folder, "embeddings"))
+
+
 def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = [
         Rule("allow", "org"),
@@ -90,5 +95,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
+    "op11_vector_codes": op11_vector_codes,
     "op13_url_filter": op13_url_filter,
 }

@@ -22,6 +22,7 @@ COLUMNS = {
     8: "doc_id fingerprint component_id",
     9: "doc_id piece start length ids_crc32 sequence_id offset",
     10: "doc_id size text_crc32 law shard slot grown_shard",
+    11: "vec_id code error label_error codebooks_sha256",
     13: "page_id host path rule verdict",
 }
 
