@@ -20,6 +20,7 @@ from skyledger.llm.tokens import tokenizer_path
 from skyledger.llm.toxicity import toxicity_scores
 from skyledger.llm.url_filter import Rule, default_labels, judge_urls
 from skyledger.llm.vector_codes import vector_code_digests
+from skyledger.llm.whitening import whitened_rows
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,6 +74,10 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_code_digests(table(spark, folder, "embeddings"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_rows(table(spark, folder, "embeddings"))
+
+
 def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = [
         Rule("allow", "org"),
@@ -96,5 +101,6 @@ QUERIES = {
     "op9_pack_best_fit": op9_pack_best_fit,
     "op10_shard_bytes": op10_shard_bytes,
     "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
     "op13_url_filter": op13_url_filter,
 }

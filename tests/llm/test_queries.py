@@ -23,6 +23,7 @@ COLUMNS = {
     9: "doc_id piece start length ids_crc32 sequence_id offset",
     10: "doc_id size text_crc32 law shard slot grown_shard",
     11: "vec_id code error label_error codebooks_sha256",
+    12: "vec_id component n deviation whitened explained identity_error",
     13: "page_id host path rule verdict",
 }
 
