@@ -37,17 +37,33 @@ BLOCK = 65536
 MANIFEST = "part int, path string, n_ids long, n_docs long"
 
 
+def _overlaps(width: int) -> Iterator[tuple[int, int, int]]:
+    """Eight ids fill ``width`` bytes: each byte and id that share bits, and how far the id is shifted right to meet the byte."""
+    for byte in range(width):
+        for i in range(8 * byte // width, (8 * byte + 7) // width + 1):
+            yield byte, i, 8 * byte - i * width
+
+
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """``width`` bits of each id, one after the other."""
-    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    return np.packbits(bits[:, :width], bitorder="little").tobytes()
+    groups = np.zeros((-(-len(ids) // 8), 8), dtype=np.uint64)
+    groups.ravel()[: len(ids)] = ids.astype(np.uint64) & np.uint64((1 << width) - 1)
+    packed = np.zeros((len(groups), width), dtype=np.uint8)
+    for byte, i, shift in _overlaps(width):
+        packed[:, byte] |= (groups[:, i] >> np.uint64(shift) if shift >= 0 else groups[:, i] << np.uint64(-shift)).astype(np.uint8)
+    return packed.tobytes()[: (len(ids) * width + 7) // 8]
 
 
 def unpack_bits(data: bytes, count: int, width: int) -> np.ndarray:
     """The first ``count`` ids of ``width`` bits in ``data``."""
-    bits = np.zeros((count, 32), dtype=np.uint8)
-    bits[:, :width] = np.unpackbits(np.frombuffer(data, dtype=np.uint8), bitorder="little")[: count * width].reshape(count, width)
-    return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    packed = np.zeros((-(-count // 8), width), dtype=np.uint8)
+    held = np.frombuffer(data, dtype=np.uint8)[: packed.size]
+    packed.ravel()[: len(held)] = held
+    ids = np.zeros((len(packed), 8), dtype=np.uint64)
+    for byte, i, shift in _overlaps(width):
+        bits = packed[:, byte].astype(np.uint64)
+        ids[:, i] |= bits << np.uint64(shift) if shift >= 0 else bits >> np.uint64(-shift)
+    return (ids.ravel()[:count] & np.uint64((1 << width) - 1)).astype("<u4")
 
 
 def _file_system(path: str):
@@ -157,7 +173,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     Rows of equal ``doc_id`` follow each other by text; a null id comes first, a null text is
     empty. Every document ends with ``end_id``. The order is made before encoding, since texts
-    take less shuffle than ids. An empty table writes no file.
+    take less shuffle than ids; very many rows of one id, or of none, are dealt out by how their texts begin. The files hold 64-bit
+    ids: a ``doc_id`` that is no whole number ends the job. An empty table writes no file.
     """
     width = vocabulary_bits(tokenizer, end_id)
 
@@ -181,7 +198,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 }
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.substring("text", 1, 64))
     return write_and_reread(arrow_map(rows.sortWithinPartitions("doc_id", "text"), write, MANIFEST), "token-manifest")
 
 

@@ -1,23 +1,26 @@
 """Token ids of whole texts by a public tokenizer file, inside Arrow batches.
 
-Encoding cost is per word, and words repeat. A text is cut at single spaces between two
+Encoding cost is per word not met before, and words repeat. A text is cut at single spaces and single line breaks between two
 characters that aren't white space; the tokenizers used here never join characters across such
-a space, so the ids of a text are the ids of its parts in order (the tests compare with whole
-texts). Each Python worker keeps the parts it has met, up to a bound, with their ids.
+a cut, so the ids of a text are the ids of its parts in order (the tests compare with whole
+texts). A text that spells a control token is encoded whole, as the library looks for those before anything else.
+
+Each Python worker keeps the parts it has met with their ids, in two generations: when the newer one is full it becomes the older
+one, and what was in the older one and not met since is forgotten. So frequent words stay, however much text goes by.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts that a worker remembers before it starts afresh: about 200 MB.
-REMEMBERED = 1_000_000
+#: Parts in a generation; two of them take about 200 MB.
+REMEMBERED = 500_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: A run of letters, then punctuation that every tokenizer here splits from it and keeps in one piece.
 _WORD = re.compile(r"([^\W\d_]+)([-.,;:!?%&$*#|]*)")
@@ -33,21 +36,30 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it can be seen, else the next free one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(unseen)}
+
+
 class Encoder:
-    """Ids of texts as bytes, four little-endian bytes an id."""
+    """Ids of texts as bytes, four little-endian bytes an id; those of the library's plain ``encode`` without special tokens."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a worker for each core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # control tokens spelt out in a text are ordinary text
-        self.first: dict[str, bytes] = {}
+        self.controls = [token.content for token in self.model.get_added_tokens_decoder().values()]
+        self.merge = self.model.model.tokenize
         self.later: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
-        self.prefix, self.suffix = self._affixes()
-        self.lower = self.ids("Q") == self.ids("q")
+        self.letters = byte_letters()
+        self.prefix = self._prefix()
+        self.newline = self.ids("x\ny")[len(self.ids("x")) : -len(self.ids("y"))]
+        self.normalize = self.model.normalizer.normalize_str if self.model.normalizer else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -56,68 +68,87 @@ class Encoder:
         return _ENCODERS[path]
 
     def ids(self, text: str) -> bytes:
-        ids = self.model.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _affixes(self) -> tuple[str, str]:
-        """What the vocabulary writes for the space before a word and for a word's end."""
-        word = self.model.encode(" zq", add_special_tokens=False).tokens
-        joined = "".join(word)
-        at = joined.index("zq")
-        return joined[:at], joined[at + 2 :]
-
-    def _word(self, letters: str) -> bytes:
-        """Ids of a space and ASCII letters: the model's merges alone, without normalizing and splitting."""
-        found = self.letters.get(letters)
-        if found is None:
-            if letters.isascii():
-                plain = letters.lower() if self.lower else letters
-                ids = [t.id for t in self.model.model.tokenize(self.prefix + plain)]
-                found = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                found = self.ids(" " + letters)
-            self.letters[letters] = found
-        return found
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a space and a part, or the mark that the part isn't one to cut at."""
+        return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _prefix(self) -> str:
+        """What the vocabulary writes for the space before a word."""
+        joined = "".join(self.model.encode(" zq", add_special_tokens=False).tokens)
+        return joined[: joined.index("zq")]
+
+    def _word(self, letters: str, led: str) -> bytes:
+        """Ids of ``led`` (a space or nothing) and letters: the model's merges alone, on the vocabulary's spelling."""
+        plain = letters
+        if self.normalize is not None:
+            plain = letters.lower() if letters.isascii() else self.normalize(letters)
+        if not plain.isascii():
+            if not plain.isalpha():
+                return self.ids(led + letters)
+            plain = plain.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.merge(self.prefix + plain if led else plain)]).tobytes()
+
+    def _part(self, part: str, led: str) -> bytes:
+        """Ids of a part after a space (``led``) or at a line's start, or the mark that the part isn't one to cut at."""
         word = _WORD.fullmatch(part)
         if word:
             letters, marks = word.groups()
             if marks not in self.marks:
                 self.marks[marks] = self.ids("x" + marks)[len(self.ids("x")) :]
-            return self._word(letters) + self.marks[marks]
+            return self._word(letters, led) + self.marks[marks]
         if not part or part[0].isspace() or part[-1].isspace():
             return _UNCUT
-        return self.ids(" " + part)
+        return self.ids(led + part)
+
+    def _known(self, part: str, led: str) -> bytes:
+        """As ``_part``, remembered. A part at a line's start is remembered with a space before it, which no other part holds."""
+        key = part if led else " " + part
+        ids = self.later.get(key)
+        if ids is None:
+            ids = self.older.get(key)
+            if ids is None:
+                if led and "\n" in part:
+                    return self._lines(part, led)
+                ids = self._part(part, led)
+            self.later[key] = ids
+        return ids
+
+    def _lines(self, part: str, led: str) -> bytes:
+        """Ids of a part with line breaks in it, which is seldom met again as a whole."""
+        pieces = part.split("\n")
+        found = [self._known(pieces[0], led), *[self._known(piece, "") for piece in pieces[1:]]]
+        if _UNCUT not in found:
+            return self.newline.join(found)
+        return _UNCUT if not part or part[0].isspace() or part[-1].isspace() else self.ids(led + part)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is empty."""
-        if len(self.later) + len(self.letters) > REMEMBERED:
-            self.first, self.later, self.letters = {}, {}, {}
+        if len(self.later) > REMEMBERED:
+            self.later, self.older = {}, self.later
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:
+        for control in self.controls:
+            if control in text:
+                return self.ids(text)
         parts = text.split(" ")
         found = list(map(self.later.get, parts))
         found[0] = b""
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    part = parts[i]
-                    found[i] = self.later[part] = self.later.get(part) or self._part(part)
+                    found[i] = self._known(parts[i], " ")
         if _UNCUT in found or not parts[0] or parts[0][-1].isspace():
             parts = _CUT.split(text)  # white space beside a space: cut only where neither neighbour is any
-            found = [b"", *[self._word_or_rest(p) for p in parts[1:]]]
-        if parts[0] not in self.first:
-            self.first[parts[0]] = self.ids(parts[0])
-        return self.first[parts[0]] + b"".join(found)
-
-    def _word_or_rest(self, part: str) -> bytes:
-        ids = self.later.get(part)
-        if ids is None or ids == _UNCUT:
-            ids = self.later[part] = self.ids(" " + part)
-        return ids
+            found = [b"", *[self._whole(part) for part in parts[1:]]]
+        found[0] = self._first(parts[0])
+        return b"".join(found)
+
+    def _first(self, part: str) -> bytes:
+        ids = self._lines(part, "") if "\n" in part else self._known(part, "")
+        return self.ids(part) if ids == _UNCUT else ids
+
+    def _whole(self, part: str) -> bytes:
+        ids = self._known(part, " ")
+        return self.ids(" " + part) if ids == _UNCUT else ids
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:

@@ -2,31 +2,65 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from conftest import awkward_rows
+from conftest import awkward_rows, prose
 from skyledger.llm.token_files import TokenFile, TokenFileWriter, pack_bits, token_file_digests, unpack_bits, write_token_files
 from skyledger.llm.tokens import Encoder, tokenizer_path
 
 NAMES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 
 
+UNTOUCHED = {name: Tokenizer.from_file(tokenizer_path(name)) for name in NAMES}
+
+
 def whole_ids(name, text):
-    model = Encoder.of(tokenizer_path(name)).model
-    return model.encode(text, add_special_tokens=False).ids
+    """By a tokenizer of its own, just read from the file."""
+    return UNTOUCHED[name].encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", NAMES)
 @settings(max_examples=300, deadline=None)
-@given(parts=st.lists(st.sampled_from([*"abZé '  \n\t\r.,!9|<>*ßΣİ ́　\x1c\x01", "<|endoftext|>", "the ", "don't"]), max_size=60))
+@given(parts=st.lists(st.sampled_from([*"abZé '  \n\t\r.,!9|<>*ßΣİ ́　\x1c\x01", "<|endoftext|>", "<|startoftext|>", "the ", "don't", "été", "ΣΑΣ", "²", "Ⅷ", "e\u0301", "日本", "\n", "\n", "\nIn ", "ǅ"]), max_size=60))
 def test_cut_texts_encode_like_whole_ones(name, parts):
     text = "".join(parts)
     encode = Encoder.of(tokenizer_path(name))
     assert np.frombuffer(encode([text, None])[0], "<u4").tolist() == whole_ids(name, text)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_control_tokens(name):
+    """Spelt out in a text they are the control tokens' ids, wherever they stand."""
+    for text in ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b <|endoftext|>", "<|ENDOFTEXT|> x", "<|startoftext|>\n\nx y"]:
+        ids = np.frombuffer(Encoder.of(tokenizer_path(name))([text])[0], "<u4").tolist()
+        assert ids == whole_ids(name, text)
+    assert max(whole_ids(name, "<|endoftext|>")) in (49407, 50256)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_forgetting(name, monkeypatch):
+    """Texts encode alike while generations come and go, and words met again stay."""
+    monkeypatch.setattr("skyledger.llm.tokens.REMEMBERED", 20)
+    encode = Encoder(tokenizer_path(name))
+    for i in range(60):
+        text = f"the same words, wörter {prose(i, 30)}"
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == whole_ids(name, text)
+        assert len(encode.later) < 80 and len(encode.older) < 80
+    assert "same" in encode.later | encode.older
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_real_texts_encode_like_whole_ones(name):
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    found = Encoder(tokenizer_path(name))(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == (whole_ids(name, text) if text else [])
+
+
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=300))
 def test_bits_round_trip(width, values):
     ids = np.array(values, dtype="<u4") >> np.uint32(32 - width)
@@ -80,5 +114,19 @@ def test_many_files(spark, some_prose, tmp_path):
     assert found == expected([(r.doc_id, r.text) for r in some_prose.collect()])
 
 
+def test_one_id_for_all(spark):
+    """Rows without an id, and rows that share one, are dealt out and still in order of their texts."""
+    rows = [(None if i % 2 else 7, prose(i % 90, 20)) for i in range(600)] + [(None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert Counter(tuple(r) for r in token_file_digests(spark, docs).collect()) == Counter(expected(rows))
+
+
+def test_ids_are_whole_numbers(spark, tmp_path):
+    docs = spark.createDataFrame([("12", "a"), ("x1", "b")], "doc_id string, text string")
+    write_token_files(docs.where("doc_id = '12'"), f"file://{tmp_path}/a", tokenizer_path(NAMES[0]))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        write_token_files(docs, f"file://{tmp_path}/b", tokenizer_path(NAMES[0]))
+
+
 def test_nothing(spark, nothing):
     assert token_file_digests(spark, nothing).collect() == []
