@@ -34,7 +34,8 @@ def merged_turns(turns: DataFrame) -> DataFrame:
 
     ``turns`` needs ``conv_id, turn, role, text``. ``blocks`` is an array of ``role`` and ``texts``.
     Null roles and texts count as empty. Turns of equal number follow each other by role and
-    text, a null number comes first, repeated rows stay. A null ``conv_id`` is a conversation.
+    text, a null number comes first, repeated rows stay. A null ``conv_id`` is a conversation. A conversation
+    becomes one text, so one task holds it; the time is proportional to its turns, and to their number times its logarithm for the order.
     """
     turn = F.struct(
         "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -45,7 +46,7 @@ def merged_turns(turns: DataFrame) -> DataFrame:
     )
     blocks = F.expr(
         "transform(starts, (s, i) -> struct(turns[s - 1].role as role,"
-        " slice(turns.text, s, coalesce(get(starts, i + 1), size(turns) + 1) - s) as texts))"
+        " transform(slice(turns, s, coalesce(get(starts, i + 1), size(turns) + 1) - s), t -> t.text) as texts))"
     )
     return grouped.withColumn("starts", starts).select("conv_id", blocks.alias("blocks"))
 

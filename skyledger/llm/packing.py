@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import arrow_map, buckets_for, running_total
-from skyledger.llm.tokens import Encoder, small_batches, tokenizer_path
+from skyledger.llm.tokens import TEXT_AT_ONCE, Encoder, small_batches, tokenizer_path
 from skyledger.session import write_and_reread
 
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long"
@@ -115,9 +115,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = Encoder.of(tokenizer), end_id.to_bytes(4, "little")
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXT_AT_ONCE):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, data in enumerate(encode(batch["text"].to_pylist())):
+            for i, data in enumerate(encode(batch["text"])):
                 data += end
                 n = len(data) // 4
                 at, number = 0, 0

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import arrow_map
-from skyledger.llm.tokens import Encoder, small_batches, tokenizer_path
+from skyledger.llm.tokens import TEXT_AT_ONCE, Encoder, small_batches, tokenizer_path
 from skyledger.session import scratch_folder, write_and_reread
 
 MAGIC = b"SKYTOK1\n"
@@ -181,11 +181,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encode, end, path, out = Encoder.of(tokenizer), end_id.to_bytes(4, "little"), "", None
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXT_AT_ONCE):
             if out is None:
                 path = f"{folder}/tokens-{part:06d}-{uuid.uuid4().hex}.bin"
                 out = TokenFileWriter(path, width)
-            for doc_id, data in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), strict=True):
+            for doc_id, data in zip(batch["doc_id"].to_pylist(), encode(batch["text"]), strict=True):
                 out.add(doc_id, np.frombuffer(data + end, dtype="<u4"))
         if out is not None:
             out.close()
@@ -198,7 +198,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 }
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.substring("text", 1, 64))
+    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.substring("text", 1, 16))
     return write_and_reread(arrow_map(rows.sortWithinPartitions("doc_id", "text"), write, MANIFEST), "token-manifest")
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import defaultdict
 
 from hypothesis import given, settings
@@ -79,3 +80,15 @@ def test_no_python_in_the_plan(spark):
 
 def test_nothing(spark):
     assert chat_digests(format_chats(frame(spark, []))).collect() == []
+
+
+def test_many_turns(spark):
+    """40,000 turns of one conversation, in time proportional to their number."""
+    turns = spark.range(40_000).selectExpr("1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('turn ', id) text")
+    start = time.perf_counter()
+    (row,) = chat_digests(format_chats(turns.repartition(4))).collect()
+    assert time.perf_counter() - start < 10
+    texts = [(("user", "assistant")[i % 2], f"turn {i}") for i in range(40_000)]
+    assert row.n_turns == 40_000
+    assert row.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in texts).encode()).hexdigest()
+    assert row.loss_sha256 == hashlib.sha256("".join(t for r, t in texts if r == "assistant").encode()).hexdigest()
