@@ -13,14 +13,13 @@ from ..functions.numeric import safe_divide
 from ..schema import PAIR_KEYS, ROUTE_KEYS
 
 
-def route_sums(df: DataFrame, delay: Column, cancelled: Column) -> DataFrame:
-    """Flights, extremes and sums of ``delay``, cancellations and months of each route.
+def route_blocks(df: DataFrame, delay: Column, cancelled: Column) -> DataFrame:
+    """Flights, extremes and sums of ``delay``, cancellations and month bits of each route and month block.
 
-    ``delay`` is NULL where a flight has none that counts. The months travel as bits, one
-    row per route and month block; the second grouping joins the blocks of a route, on
-    rows that are already as few as the routes.
+    ``delay`` is NULL where a flight has none that counts. Every column but the keys adds up, so that
+    ``merge_route_blocks`` makes one row of several.
     """
-    blocks = df.groupBy(*ROUTE_KEYS, month_block(F.col("month")).alias("block")).agg(
+    return df.groupBy(*ROUTE_KEYS, month_block(F.col("month")).alias("block")).agg(
         F.count(F.lit(1)).alias("flights"),
         F.min(delay).alias("delay_min"),
         F.max(delay).alias("delay_max"),
@@ -30,17 +29,33 @@ def route_sums(df: DataFrame, delay: Column, cancelled: Column) -> DataFrame:
         F.count(cancelled).alias("cancelled_known"),
         month_bits(F.col("month")).alias("bits"),
     )
+
+
+def _block_totals() -> list[Column]:
+    """How two rows of the same key become one."""
+    kinds = {"delay_min": F.min, "delay_max": F.max}
+    names = ("flights", "delay_min", "delay_max", "delay_sum", "delay_flights", "cancelled_sum", "cancelled_known")
+    return [kinds.get(name, F.sum)(name).alias(name) for name in names]
+
+
+def merge_route_blocks(blocks: DataFrame) -> DataFrame:
+    """One row per route and month block, from rows of any number of batches of flights."""
+    return blocks.groupBy(*ROUTE_KEYS, "block").agg(*_block_totals(), F.bit_or("bits").alias("bits"))
+
+
+def join_route_blocks(blocks: DataFrame) -> DataFrame:
+    """One row per route with its months, from one row per route and month block."""
     months = F.collect_list(months_from_bits(F.col("block"), F.col("bits")))
-    return blocks.groupBy(*ROUTE_KEYS).agg(
-        F.sum("flights").alias("flights"),
-        F.min("delay_min").alias("delay_min"),
-        F.max("delay_max").alias("delay_max"),
-        F.sum("delay_sum").alias("delay_sum"),
-        F.sum("delay_flights").alias("delay_flights"),
-        F.sum("cancelled_sum").alias("cancelled_sum"),
-        F.sum("cancelled_known").alias("cancelled_known"),
-        F.array_sort(F.flatten(months)).alias("months"),
-    )
+    return blocks.groupBy(*ROUTE_KEYS).agg(*_block_totals(), F.array_sort(F.flatten(months)).alias("months"))
+
+
+def route_sums(df: DataFrame, delay: Column, cancelled: Column) -> DataFrame:
+    """Flights, extremes and sums of ``delay``, cancellations and months of each route.
+
+    The months travel as bits, one row per route and month block; the second grouping joins the blocks of a route, on
+    rows that are already as few as the routes.
+    """
+    return join_route_blocks(route_blocks(df, delay, cancelled))
 
 
 def pair_sums(

@@ -92,21 +92,26 @@ def _number(name: str, kind: str) -> Column:
     return try_number(F.col(name), kind)
 
 
-def _numbers_fine(fields: Fields) -> Column:
+def number_tests(fields: Fields) -> dict[str, Column]:
+    """For each number among ``fields``, whether it is good enough for the report: a number, missing where it may be, or not read."""
     flag = _number("cancelled", "double")
-    tests = [flag.isNotNull() if fields.flag == "required" else flag.isNotNull() | is_missing(F.col("cancelled"))]
+    tests = {"cancelled": flag.isNotNull() if fields.flag == "required" else flag.isNotNull() | is_missing(F.col("cancelled"))}
     if fields.month != "unread":
         month = _number("month", "int").isNotNull()
-        tests.append(month if fields.month == "required" else month | is_missing(F.col("month")))
+        tests["month"] = month if fields.month == "required" else month | is_missing(F.col("month"))
     unused = F.lit(False)
     if not fields.cancelled_delays:
         unused = flag.cast("int") == 1 if fields.whole_flag else flag != 0
         unused = F.coalesce(unused, F.lit(fields.flag == "null"))
-    tests += [_number(c, "double").isNotNull() | is_missing(F.col(c)) | unused for c in fields.delays]
-    return reduce(and_, tests)
+    return tests | {c: _number(c, "double").isNotNull() | is_missing(F.col(c)) | unused for c in fields.delays}
+
+
+def _numbers_fine(fields: Fields) -> Column:
+    return reduce(and_, number_tests(fields).values())
 
 
-def _typed(fields: Fields) -> dict[str, Column]:
+def typed_fields(fields: Fields) -> dict[str, Column]:
+    """The columns read, as numbers and stripped keys."""
     return {
         name: strip(F.col(name)) if kind == "string" else _number(name, kind)
         for name, _, kind in FLIGHT_FIELDS
@@ -121,10 +126,10 @@ def drop_malformed(df: DataFrame, fields: Fields = STRICT) -> DataFrame:
     it is required; a line cut off before the flag therefore goes where a flag is required. Fields that the
     report doesn't read are not looked at; columns that are no flight columns pass through unchanged.
     """
-    return df.where(_numbers_fine(fields)).withColumns(_typed(fields))
+    return df.where(_numbers_fine(fields)).withColumns(typed_fields(fields))
 
 
-def _keys_fine(keys: Sequence[str]) -> Column:
+def keys_fine(keys: Sequence[str]) -> Column:
     """Keys that are filled and don't hold their own column's name, as a header line's do."""
     return reduce(and_, (F.coalesce(is_filled(F.col(c)) & (strip(F.col(c)) != c), F.lit(False)) for c in keys))
 
@@ -137,7 +142,7 @@ def clean(df: DataFrame, fields: Fields = STRICT, airport: Fields | None = None)
     its airport's mean does.
     """
     read = airport or fields
-    typed = _typed(fields)
+    typed = typed_fields(fields)
     if airport:
-        typed |= {"counted": _keys_fine(fields.keys) & _numbers_fine(fields)}
-    return df.where(_keys_fine(read.keys) & _numbers_fine(read)).withColumns(typed)
+        typed |= {"counted": keys_fine(fields.keys) & _numbers_fine(fields)}
+    return df.where(keys_fine(read.keys) & _numbers_fine(read)).withColumns(typed)

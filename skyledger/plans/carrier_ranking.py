@@ -78,12 +78,17 @@ def carrier_ranking(
     over the pair sums. With ``airport_means`` the means are looked up there instead.
     Flights may have a column ``counted``: those for which it is not true enter the airport's mean only.
     """
-    rounded = round_half_even if rules.half_even else round_half_up
     counted = F.col("counted") if "counted" in flights.columns else None
     flights = filter_not_null(flights, *(PAIR_KEYS if counted is None else ["origin"]))
     if rules.dedupe:
         flights = dedupe_rows(flights)
     pairs = pair_sums(flights, rules.missing, rules.carrier_delays, rules.airport_delays, rules.valid, counted)
+    return ranking_report(pairs, rules, counted is not None, airport_means)
+
+
+def ranking_report(pairs: DataFrame, rules: RankingRules, more: bool, airport_means: DataFrame | None = None) -> DataFrame:
+    """The report from the pair sums; ``more`` says that pairs without flights may be among them, for the airport's mean only."""
+    rounded = round_half_even if rules.half_even else round_half_up
 
     def mean(total: str, count: str) -> Column:
         return safe_divide(F.col(total), F.col(count), rules.default)
@@ -101,11 +106,11 @@ def carrier_ranking(
     )
     position = dense_position("dep_mean") if rules.dense else sequence_position("dep_mean")
     if airport_means is not None:
-        if counted is not None:
+        if more:
             means = means.where("flights > 0")
         ranked = join_airport_mean(means, airport_means).withColumn("position", position)
     else:
-        if counted is None:
+        if not more:
             ranked = with_airport_sums(means.withColumn("position", position))
         else:
             ranked = with_airport_sums(means).where("flights > 0").withColumn("position", position)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import round_half_even
-from ..operators import Fields, nest, operated_airport_means
+from ..operators import Fields, distinct_by_digest, nest, operated_airport_means
 from ..schema import RANKING_LIST, ROUTE_LIST
 from ..sinks import (
     ranking_lines,
@@ -20,8 +20,9 @@ from ..sinks import (
     write_json,
     write_text,
 )
-from ..sources import read_airport_means, read_flights
-from .carrier_ranking import AIRPORT_MEAN_FIELDS, RANKING_PRESETS, carrier_ranking
+from ..sources import read_accounted, read_airport_means, read_flights
+from .carrier_ranking import AIRPORT_MEAN_FIELDS, RANKING_PRESETS, RankingRules, carrier_ranking
+from .route_state import merge_batch, state_report
 from .route_stats import ROUTE_PRESETS, route_stats
 
 Writer = Callable[[DataFrame, str], None]
@@ -71,6 +72,11 @@ def _airport_mean(flights: DataFrame, digits: int | None) -> DataFrame:
     return means.withColumn("airport_mean", round_half_even(F.col("airport_mean"), digits))
 
 
+def _ranking_of_distinct(flights: DataFrame, rules: RankingRules, **options: DataFrame) -> DataFrame:
+    """A ranking of a file's flights that counts equal rows once; the file is read once."""
+    return carrier_ranking(distinct_by_digest(flights), replace(rules, dedupe=False), **options)
+
+
 def _jobs() -> dict[str, Job]:
     routes = {"nested": _routes_nested, "text": _routes_as_text, "json_text": _routes_as_json_text}
     jobs = {}
@@ -82,7 +88,7 @@ def _jobs() -> dict[str, Job]:
         if rules.dense:
             formats = dict(reversed(formats.items()))
         jobs[name] = Job(
-            partial(carrier_ranking, rules=rules),
+            partial(_ranking_of_distinct if rules.dedupe else carrier_ranking, rules=rules),
             formats,
             rules.fields,
             rules.airport,
@@ -105,11 +111,14 @@ def run_job(
     output_path: str,
     fmt: str | None = None,
     means_path: str | None = None,
-) -> None:
+    rejects_path: str | None = None,
+) -> dict[str, int] | None:
     """Run the analysis ``name`` over the flights at ``input_path`` into ``output_path``.
 
     ``means_path`` names a table written by an ``airport_mean`` job; a ranking then takes
-    the airport means from it instead of working them out.
+    the airport means from it instead of working them out. With ``rejects_path``, the lines that the
+    report leaves out are written there as CSV with the reason and the file, and the numbers of lines are returned:
+    ``lines``, ``kept`` and each reason's.
     """
     job = JOBS[name]
     write = job.formats[fmt or next(iter(job.formats))]
@@ -118,7 +127,25 @@ def run_job(
         if not job.takes_means:
             raise ValueError(f"{name} takes no airport means")
         options["airport_means"] = read_airport_means(spark, means_path)
-    write(job.report(read_for(spark, job, input_path, with_airport=not means_path), **options), output_path)
+    if not rejects_path:
+        write(job.report(read_for(spark, job, input_path, with_airport=not means_path), **options), output_path)
+        return None
+    airport = None if means_path else job.airport
+    account = read_accounted(spark, input_path, job.fields, job.whole_rows, airport=airport)
+    write(job.report(account.flights, **options), output_path)
+    write_csv(account.rejects, rejects_path)
+    return {"lines": account.lines, "kept": account.lines - sum(account.reasons.values())} | account.reasons
+
+
+def merge_job(spark: SparkSession, name: str, input_path: str, state: str, batch: str) -> None:
+    """Merge the flights at ``input_path`` as one batch into the state of a route analysis."""
+    merge_batch(read_for(spark, JOBS[name], input_path), ROUTE_PRESETS[name], state, batch)
+
+
+def state_job(spark: SparkSession, name: str, state: str, output_path: str, fmt: str | None = None) -> None:
+    """Write the report of a route analysis over all batches of its state."""
+    job = JOBS[name]
+    job.formats[fmt or next(iter(job.formats))](state_report(spark, ROUTE_PRESETS[name], state), output_path)
 
 
 def read_for(spark: SparkSession, job: Job, path: str, with_airport: bool = True) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import months_text, round_half_even, round_half_up, route_label, safe_divide
 from ..operators import Fields, filter_not_null, route_sums
@@ -46,17 +46,25 @@ ROUTE_PRESETS = {
 }
 
 
-def route_stats(flights: DataFrame, rules: RouteRules) -> DataFrame:
-    """One report row per carrier and route."""
-    rounded = round_half_even if rules.half_even else round_half_up
+def measured(flights: DataFrame, rules: RouteRules) -> tuple[DataFrame, Column, Column]:
+    """The flights that count, the delay measured of each (NULL for none) and its cancellation."""
     flights = filter_not_null(flights, *ROUTE_KEYS)
     cancelled = F.col("cancelled")
     if rules.whole_flag:
         whole = cancelled.try_cast("int")
         flights = flights.where(whole.isNotNull())
         cancelled = (whole == 1).cast("int")
-    sums = route_sums(flights, F.when(cancelled == 0, F.col(rules.delay)), cancelled)
+    return flights, F.when(cancelled == 0, F.col(rules.delay)), cancelled
 
+
+def route_stats(flights: DataFrame, rules: RouteRules) -> DataFrame:
+    """One report row per carrier and route."""
+    return route_report(route_sums(*measured(flights, rules)), rules)
+
+
+def route_report(sums: DataFrame, rules: RouteRules) -> DataFrame:
+    """The report's columns from the sums of each route."""
+    rounded = round_half_even if rules.half_even else round_half_up
     # Quotients first and rounding in a second step, which then reads plain columns.
     stats = sums.withColumns(
         {

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import csv
-from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.cleaning import STRICT, Fields, clean
 from ..schema import FLIGHT_COLUMNS, SOURCE_POSITIONS
+from .layouts import column_orders, has_names
 
 #: Fields may be quoted and hold commas; a quote inside a quoted field is doubled. Nothing between two commas
 #: is NULL and two quotes are the empty text; the reader tells them apart if NULL is some other text to it.
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\x00"}
 
 
-def has_names(header: Sequence[str]) -> bool:
-    """Whether a first line names the fields; without the name ``origin`` it is data."""
-    return "origin" in (name.strip().lower() for name in header)
-
-
 def field_positions(header: Sequence[str]) -> dict[str, int]:
     """Position of each flight column, by name without regard to case or outer blanks.
 
@@ -60,48 +53,6 @@ def resolve_columns(df: DataFrame, keep_rest: bool = False, columns: Sequence[st
     return numbered.select(*picked)
 
 
-def _first_lines(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
-    """The fields of the first line of each file; the driver reads no more of it than that."""
-    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(configuration)
-
-    def first(file: str) -> list[str]:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        stream = path.getFileSystem(configuration).open(path)
-        try:
-            codec = codecs.getCodec(path)
-            source = codec.createInputStream(stream) if codec else stream
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
-        finally:
-            stream.close()
-        return next(csv.reader([line or ""]), [])
-
-    with ThreadPoolExecutor(16) as threads:
-        return list(threads.map(first, files))
-
-
-def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str] | None]]:
-    """Header and files of each column order among the files at ``path``.
-
-    Files are None if all have one order. A file without a header, such as a later part of one that was cut,
-    has the order of those that have one, which then must agree.
-    """
-    files = spark.read.text(path).inputFiles()
-    heads = dict(zip(files, _first_lines(spark, files), strict=True))
-    layouts = defaultdict(list)
-    for file, head in heads.items():
-        if has_names(head):
-            layouts[tuple(name.strip().lower() for name in head)].append(file)
-    bare = [file for file, head in heads.items() if head and not has_names(head)]
-    if not layouts:
-        return [(max(heads.values(), key=len, default=[]), None)]
-    if len(layouts) == 1:
-        return [(list(next(iter(layouts))), None)]
-    if bare:
-        raise ValueError(f"{bare[0]} has no header, and the headers of other files differ")
-    return [(list(names), own) for names, own in layouts.items()]
-
-
 def read_flights_text(
     spark: SparkSession,
     path: str,
@@ -117,7 +68,7 @@ def read_flights_text(
     stand. The columns are text, so that a bad number costs its row and not the job, and
     no pass over the data is spent on type inference.
     """
-    layouts = [(list(header), None)] if header is not None else _layouts(spark, path)
+    layouts = [(list(header), None)] if header is not None else column_orders(spark, path)
     parts = []
     for names, files in layouts:
         numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])

@@ -261,6 +261,46 @@ _JOB_ROUTE_DEP = _raw_flights(
 )
 
 
+_JOB_DEDUPE = f"""{_VOLI_RAW}, voli AS (
+SELECT * REPLACE ({_or_zero("cancelled")} AS cancelled) FROM (
+SELECT DISTINCT {_strip("op_unique_carrier")} AS op_unique_carrier, {_strip("origin")} AS origin, {_number("dep_delay")} AS dep_delay,
+       {_number("arr_delay")} AS arr_delay, {_number("cancelled")} AS cancelled, month, dest
+FROM voli_raw WHERE {_PAIR_NAMED} AND {_fine("cancelled")} AND {_fine("dep_delay")} AND {_fine("arr_delay")}))
+{_ranking_zero("voli", "all", "all", "count(*) - sum(cancelled)", 2)}"""
+
+
+def _reasons() -> str:
+    keys = "".join(
+        f" WHEN NOT coalesce({_strip(k)} <> '', false) THEN 'blank {k}' WHEN {_strip(k)} = '{k}' THEN 'header in {k}'"
+        for k in ("op_unique_carrier", "origin", "dest")
+    )
+    month = f"TRY_CAST({_strip('month')} AS INTEGER) IS NULL"
+    return f"""CASE{keys} WHEN {_sentinel("cancelled")} IS NULL THEN 'missing cancelled' WHEN {_number("cancelled")} IS NULL THEN 'bad cancelled'
+       WHEN {_sentinel("month")} IS NULL THEN 'missing month' WHEN {month} THEN 'bad month'
+       WHEN NOT {_fine("dep_delay")} THEN 'bad dep_delay' WHEN NOT {_fine("arr_delay")} THEN 'bad arr_delay' ELSE 'kept' END"""
+
+
+_COLUMNS = ("month", "op_unique_carrier", "origin", "dest", "dep_delay", "arr_delay", "cancelled")
+
+
+def _ranks(table: str) -> str:
+    """Least type that holds all values of each column, as a number."""
+    rows = []
+    for column in _COLUMNS:
+        text = f"CAST({column} AS VARCHAR)"
+        rows.append(f"""SELECT '{column}' AS "column", max(CASE WHEN {_sentinel(text)} IS NULL THEN 0
+       WHEN TRY_CAST({_strip(text)} AS INTEGER) IS NOT NULL AND regexp_full_match({_strip(text)}, '[+-]?[0-9]+') THEN 1
+       WHEN TRY_CAST({_strip(text)} AS BIGINT) IS NOT NULL AND regexp_full_match({_strip(text)}, '[+-]?[0-9]+') THEN 2
+       WHEN TRY_CAST({_strip(text)} AS DOUBLE) IS NOT NULL THEN 3 ELSE 4 END) AS rank FROM {table}""")
+    return " UNION ALL ".join(rows)
+
+
+_INFERRED = f"""{_VOLI}, {_VOLI_RAW.strip().removeprefix("WITH ")},
+ranks AS (SELECT 'raw' AS source, * FROM ({_ranks("voli_raw")}) UNION ALL SELECT 'clean', * FROM ({_ranks("voli")}))
+SELECT source, "column", (['void', 'int', 'bigint', 'double', 'string'])[rank + 1] AS type
+FROM (SELECT * FROM ranks UNION ALL SELECT 'both', "column", max(rank) FROM ranks GROUP BY "column")"""
+
+
 def _by_route(columns: str) -> str:
     return f"{_VOLI} SELECT {_ROUTE_KEYS}, {columns} FROM voli {_ROUTE_GROUP}"
 
@@ -278,6 +318,12 @@ ORACLE: dict[str, str] = {
     "clean_flights": f"""{_VOLI_RAW}, typed AS ({_TYPED})
 SELECT * FROM typed WHERE op_unique_carrier <> 'op_unique_carrier' AND {_KEYS_FILLED}""",
     "resolve_mixed_files": _VOLI + "SELECT * FROM voli",
+    "resolve_by_layout": _VOLI + "SELECT * FROM voli",
+    "infer_types": _INFERRED,
+    "scan_quoted_breaks": f"""{_VOLI_RAW} SELECT op_unique_carrier, 'from ' || coalesce(origin, '')
+|| CASE month WHEN '7' THEN chr(10) WHEN '3' THEN '"' || chr(10) || chr(10) || ', "' ELSE ' to ' END || coalesce(dest, '')
+|| CASE WHEN month = '5' THEN chr(10) || '"' ELSE '' END AS note, dep_delay FROM voli_raw""",
+    "reject_reasons": f"{_VOLI_RAW} SELECT {_reasons()} AS reason, count(*) AS lines FROM voli_raw GROUP BY ALL",
     "sink_csv_raw_roundtrip": _VOLI_RAW + "SELECT * FROM voli_raw",
     "sink_overwrite": f"""{_VOLI} SELECT origin, avg({_or_zero("dep_delay")}) AS airport_mean
 FROM voli WHERE cancelled = 0 GROUP BY origin""",
@@ -291,6 +337,10 @@ FROM voli WHERE cancelled = 0 GROUP BY origin""",
     "job_route_stats_arr": _JOB_ROUTE_ARR + _ROUTE_ARR,
     "job_route_stats_dep_flat": f"""{_JOB_ROUTE_DEP}
 SELECT * REPLACE (coalesce("Mesi", '') AS "Mesi") FROM ({_ROUTE_DEP_FLAT})""",
+    "job_ranking_zero_dedupe": f"{_JOB_DEDUPE} SELECT {_RANKING_COLUMNS} FROM ranking",
+    "job_route_stats_dep_nested": f"""{_JOB_ROUTE_DEP}
+SELECT * REPLACE (coalesce("Mesi", '') AS "Mesi") FROM ({_ROUTE_DEP_NESTED})""",
+    "route_state_merge": _VOLI + _ROUTE_ARR,
     "job_airport_mean": f"""{_raw_flights(_AIRPORT_ROWS, _FLAG_OR_0)}
 SELECT origin, {_half_even(f"avg({_or_zero('dep_delay')})", 2)} AS airport_mean
 FROM voli WHERE cancelled = 0 GROUP BY origin""",
@@ -341,6 +391,7 @@ FROM voli GROUP BY origin""",
     "airport_mean_operated": f"""{_VOLI} SELECT origin, {_half_even(f"avg({_or_zero('dep_delay')})", 2)} AS airport_mean
 FROM voli WHERE cancelled = 0 GROUP BY origin""",
     "dedupe_rows": _VOLI + "SELECT DISTINCT * FROM voli",
+    "dedupe_by_digest": _VOLI + "SELECT DISTINCT * FROM voli",
     "nest_routes": f"""{_VOLI}, stats AS ({_ROUTE_DEP_NESTED})
 SELECT *, CAST(row_number() OVER (PARTITION BY "Compagnia" ORDER BY "Tratta") - 1 AS INTEGER) AS "index" FROM stats""",
     "nest_ranking": f"""{_VOLI}{_RANKING_SQL} SELECT {_RANKING_COLUMNS},
@@ -377,3 +428,32 @@ coalesce(position('unique' IN lower(op_unique_carrier)) > 0, false) AS is_header
         f"coalesce(avg({_OPERATED_DEP}), 0.0e0) AS mean_or_zero, avg({_OPERATED_DEP}) AS mean_or_null"
     ),
 }
+
+
+def _one_shape(name: str, *columns: str) -> str:
+    kinds = ("VARCHAR", "VARCHAR", "BIGINT", "DOUBLE", "DOUBLE", "DOUBLE", "DOUBLE", "INTEGER", "VARCHAR")
+    names = ("carrier", "place", "flights", "x1", "x2", "x3", "rate", "position", "months")
+    shown = ", ".join(f"CAST({column} AS {kind}) AS {alias}" for column, kind, alias in zip(columns, kinds, names))
+    return f"SELECT '{name}' AS job, {shown} FROM ({_ALL_REPORTS[name]})"
+
+
+_ALL_REPORTS = {
+    "route_stats_arr": ORACLE["job_route_stats_arr"],
+    "route_stats_dep_flat": ORACLE["job_route_stats_dep_flat"],
+    "route_stats_dep_nested": ORACLE["job_route_stats_dep_nested"],
+    "ranking_sql": ORACLE["job_ranking_sql"],
+    "ranking_zero_excl": ORACLE["job_ranking_zero_excl"],
+    "ranking_zero_incl": ORACLE["job_ranking_zero_incl"],
+    "airport_mean": ORACLE["job_airport_mean"],
+    "airport_mean_unrounded": f"""{_raw_flights(_AIRPORT_ROWS, _FLAG_OR_0)}
+SELECT origin, avg({_or_zero("dep_delay")}) AS airport_mean FROM voli WHERE cancelled = 0 GROUP BY origin""",
+}
+_ROUTE_SHAPE = ('"Compagnia"', '"Tratta"', '"Voli"', '"Min"', '"Max"', '"Medio"', '"Cancellazioni"', "NULL", '"Mesi"')
+_RANKING_SHAPE = (
+    *('"Compagnia"', '"Aeroporto"', '"Voli_Operati"', '"Ritardo_Medio_Partenza"', '"Ritardo_Medio_Arrivo"'),
+    *('"Differenza_Dalla_Media_APT"', '"Tasso_Cancellazione"', '"Posizione_Classifica"', "NULL"),
+)
+_MEAN_SHAPE = ("NULL", "origin", "NULL", "airport_mean", *["NULL"] * 5)
+ORACLE["job_all_reports"] = " UNION ALL ".join(
+    _one_shape(name, *(_ROUTE_SHAPE if "route" in name else _RANKING_SHAPE if "ranking" in name else _MEAN_SHAPE)) for name in _ALL_REPORTS
+)

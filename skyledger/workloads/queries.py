@@ -7,11 +7,12 @@ can be compared column by column.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import functions as fn, operators as ops, sinks, sources
-from ..plans import JOBS, ranking_preset, read_for, route_preset
+from ..plans import JOBS, ROUTE_PRESETS, merge_batch, ranking_preset, read_for, route_preset, shared_reports, state_report
 from ..schema import RANKING_LIST, RANKING_REPORT, ROUTE_KEYS, ROUTE_LIST
 from ..session import scratch_folder, write_and_reread
 from .voli import voli, voli_raw
@@ -111,6 +112,54 @@ def resolve_mixed_files(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_flights(spark, f"{path}/*")
 
 
+@_query
+def resolve_by_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """About a thousand files in three column orders."""
+    path = scratch_folder(spark, "layouts")
+    flights = write_and_reread(voli(spark, folder), "flights")
+    part = F.pmod(F.xxhash64(*flights.columns), F.lit(3))
+    names = flights.columns
+    for i, columns in enumerate((names, names[::-1], names[3:] + names[:3])):
+        sinks.write_csv(flights.where(part == i).select(*columns).repartition(334), f"{path}/part={i}")
+    return sources.read_flights(spark, f"{path}/*")
+
+
+@_query
+def scan_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Notes with line breaks, quotes and commas in quotes, in files that are cut every 64 kB."""
+    path = scratch_folder(spark, "quoted")
+    raw = voli_raw(spark, folder)
+    breaks = F.when(F.col("month") == "7", F.lit("\n")).when(F.col("month") == "3", F.lit('"\n\n, "')).otherwise(F.lit(" to "))
+    note = F.concat_ws("", F.lit("from "), "origin", breaks, "dest", F.when(F.col("month") == "5", F.lit('\n"')))
+    sinks.write_csv(raw.select("op_unique_carrier", note.alias("note"), "dep_delay"), path)
+    cut = spark.newSession()
+    cut.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 16))
+    cut.conf.set("spark.sql.files.openCostInBytes", "0")
+    found = scratch_folder(spark, "records")
+    schema = "op_unique_carrier string, note string, dep_delay string"
+    sources.read_quoted_csv(cut, path, schema).write.parquet(found)
+    return spark.read.schema(schema).parquet(found)
+
+
+@_query
+def infer_types(spark: SparkSession, folder: str) -> DataFrame:
+    tables = {"raw": voli_raw, "clean": voli}
+    found = {name: write_and_reread(sources.infer_types(table(spark, folder)), "types") for name, table in tables.items()}
+    found["both"] = sources.merge_types(*found.values())
+    rows = [types.select(F.lit(name).alias("source"), "column", "type") for name, types in found.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@_query
+def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Over lines without headers, whose number would be that of the files."""
+    path, raw = scratch_folder(spark, "lines"), voli_raw(spark, folder)
+    raw.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    account = sources.read_accounted(spark, path, header=raw.columns)
+    left_out = account.rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    return left_out.unionByName(account.flights.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("lines")))
+
+
 @_query
 def sink_csv_raw_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     schema = voli_raw(spark, folder).schema
@@ -158,6 +207,53 @@ def job_route_stats_dep_flat(spark: SparkSession, folder: str) -> DataFrame:
     return _job(spark, folder, "route_stats_dep_flat")
 
 
+@_query
+def job_ranking_zero_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, "ranking_zero_dedupe")
+
+
+@_query
+def job_route_stats_dep_nested(spark: SparkSession, folder: str) -> DataFrame:
+    return _mesi_as_text(_job(spark, folder, "route_stats_dep_nested"))
+
+
+@_query
+def route_state_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches, one of which came incomplete at first and is sent again."""
+    state = scratch_folder(spark, "state")
+    rules = ROUTE_PRESETS["route_stats_arr"]
+    flights = write_and_reread(voli(spark, folder), "flights")
+    batch = F.pmod(F.xxhash64(*flights.columns), F.lit(3))
+    merge_batch(flights.where((batch == 1) & (F.col("month") < 7)), rules, state, "b1")
+    for i in range(3):
+        merge_batch(flights.where(batch == i), rules, state, f"b{i}")
+    return _mesi_as_text(state_report(spark, rules, state))
+
+
+def _one_shape(name: str, report: DataFrame) -> DataFrame:
+    """Routes, rankings and means under common columns."""
+    if "Tratta" in report.columns:
+        picked = ["Compagnia", "Tratta", "Voli", "Min", "Max", "Medio", "Cancellazioni", None]
+        months = report["Mesi"] if dict(report.dtypes)["Mesi"] == "string" else F.array_join(report["Mesi"].cast("array<string>"), ",")
+    elif "Aeroporto" in report.columns:
+        delays = ["Ritardo_Medio_Partenza", "Ritardo_Medio_Arrivo", "Differenza_Dalla_Media_APT"]
+        picked = ["Compagnia", "Aeroporto", "Voli_Operati", *delays, "Tasso_Cancellazione", "Posizione_Classifica"]
+        months = F.lit(None).cast("string")
+    else:
+        picked = [None, "origin", None, "airport_mean", None, None, None, None]
+        months = F.lit(None).cast("string")
+    kinds = {"carrier": "string", "place": "string", "flights": "bigint", "x1": "double", "x2": "double", "x3": "double", "rate": "double", "position": "int"}
+    columns = [(F.lit(None) if old is None else F.col(old)).cast(kind).alias(new) for (new, kind), old in zip(kinds.items(), picked)]
+    return report.select(F.lit(name).alias("job"), *columns, months.alias("months"))
+
+
+@_query
+def job_all_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """All reports that can share a scan, from one."""
+    reports = shared_reports(spark, _raw_file(spark, folder))
+    return reduce(DataFrame.unionByName, [_one_shape(name, report) for name, report in reports.items()])
+
+
 @_query
 def job_airport_mean(spark: SparkSession, folder: str) -> DataFrame:
     return _job(spark, folder, "airport_mean")
@@ -394,6 +490,11 @@ def dedupe_rows(spark: SparkSession, folder: str) -> DataFrame:
     return ops.dedupe_rows(voli(spark, folder))
 
 
+@_query
+def dedupe_by_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.distinct_by_digest(voli(spark, folder))
+
+
 @_query
 def nest_routes(spark: SparkSession, folder: str) -> DataFrame:
     stats = route_preset(voli(spark, folder), "route_stats_dep_nested")
