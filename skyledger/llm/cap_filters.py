@@ -11,12 +11,17 @@ linked whatever the error joins a spanning forest, a doubtful one is looked up a
 double precision. Links lie inside connected components, so the number of links of each vector is
 counted there, in double precision, in tiles.
 
-With the default numbers two vectors of cosine 0.9 in 64 dimensions meet in about 90 of some 270 filters
-each. Of 15,000 random pairs of that cosine all met (with two rotations instead of three, all but 5 of 10,000).
+Up to ``FEW`` vectors two of cosine 0.9 in 64 dimensions meet in about 90 of some 270 filters
+each. Of 15,000 random pairs of that cosine all met (with two rotations instead of three, all but 5 of 10,000). Of more vectors
+the filters become narrower, so that one holds as many as before, and more, so that near vectors meet in as many as
+before (``filters_for``). So a random vector of 64 dimensions is compared with 41 others of 2,000, 1,040 of 50,000, 1,030 of 400,000 and 1,180 of
+3,200,000; one of 768 dimensions with 3,500 of 50,000 and 2,800 of 3,200,000. At most 1 of 100 pairs of cosine 0.9 shares no filter in 8, 64 or
+768 dimensions (tested for 50,000 and 2,000,000 vectors). What grows is listing a vector's filters, with the root of the table's size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,6 +40,27 @@ TILE = 4096
 COUNT_TILE = 2048
 #: Buckets up to this size are compared together, by distance in the sorted list.
 SMALL = 24
+#: Vectors up to which the filters are those of ``WORDS`` and ``HEIGHT``.
+FEW = 50_000
+WORDS, HEIGHT = 1024, 3.6
+LEAST_DIMS = 16
+#: Products with code words held at once.
+PRODUCTS = 1 << 20
+
+
+def filters_for(vectors: int, cosine: float, dims: int) -> tuple[int, float]:
+    """Code words and height for a table of so many vectors; the threshold of a filter is ``height / sqrt(dims)``.
+
+    With up to ``FEW`` vectors the threshold is that of ``HEIGHT``, but 0.75 at the most, as in few dimensions hardly any direction is
+    nearer. A random vector passes a threshold ``t`` about ``(1 - t^2)^(dims / 2)`` times; with more vectors it is such that a filter holds
+    as many of them as with ``FEW``. Two vectors of the given cosine both pass it ``(1 - 2 t^2 / (1 + cosine))^(dims / 2)`` times;
+    the words make up for that becoming rarer.
+    """
+    d = max(dims, LEAST_DIMS)
+    base = min(0.75**2, HEIGHT**2 / d)
+    now = 1 - (1 - base) * min(1.0, FEW / max(vectors, 1)) ** (2 / d)
+    both = math.log1p(-2 * base / (1 + cosine)) - math.log1p(-2 * now / (1 + cosine))
+    return math.ceil(WORDS * math.exp(d / 4 * both)), math.sqrt(now * d)
 
 
 @lru_cache(maxsize=8)
@@ -56,25 +82,26 @@ def product_code(dims: int, words: int, rotations: int, seed: int) -> list[tuple
 def decode(x: np.ndarray, words: int, rotations: int, height: float, seed: int) -> list[np.ndarray]:
     """Numbers of the filters that each unit vector (a row) passes.
 
-    The threshold is ``height / sqrt(dims)``, but 0.75 at the most: in few dimensions hardly any direction is
-    nearer. Shorter vectors than 16 are filled up with zeros, which changes no cosine.
+    The threshold is ``height / sqrt(dims)``. Shorter vectors than 16 are filled up with zeros, which changes no cosine.
     """
     own = x.shape[1]
-    if own < 16:
-        x = np.hstack([x, np.zeros((len(x), 16 - own))])
+    if own < LEAST_DIMS:
+        x = np.hstack([x, np.zeros((len(x), LEAST_DIMS - own))])
     dims = x.shape[1]
-    least = min(0.75, height / np.sqrt(dims))
+    least = height / math.sqrt(dims)
     found: list[list[np.ndarray]] = [[] for _ in x]
     for number, (turn, first, second) in enumerate(product_code(dims, words, rotations, seed)):
-        turned = x @ turn
         half = first.shape[1]
-        a = turned[:, :half] @ first.T
-        b = turned[:, half:] @ second.T
-        most = b.max(axis=1)
-        for i in range(len(x)):
-            some = np.flatnonzero(a[i] >= least - most[i])
-            p, q = np.nonzero(a[i, some][:, None] + b[i][None, :] >= least)
-            found[i].append(((own * rotations + number) * words + some[p]) * words + q)
+        for start in range(0, len(x), max(1, PRODUCTS // words)):
+            turned = x[start : start + max(1, PRODUCTS // words)] @ turn
+            a = turned[:, :half] @ first.T
+            b = turned[:, half:] @ second.T
+            most, likely = b.max(axis=1), a.max(axis=1)
+            for i in range(len(turned)):
+                some = np.flatnonzero(a[i] >= least - most[i])
+                other = np.flatnonzero(b[i] >= least - likely[i])  # the second list is cut short like the first
+                p, q = np.nonzero(a[i, some][:, None] + b[i, other][None, :] >= least)
+                found[start + i].append(((own * rotations + number) * words + some[p]) * words + other[q])
     return [np.concatenate(f) for f in found]
 
 
@@ -135,21 +162,25 @@ def near_pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield start + rows[i], start + j
 
 
-def filter_links(vectors: DataFrame, cosine: float, words: int, rotations: int, height: float, seed: int) -> DataFrame:
+def filter_links(vectors: DataFrame, cosine: float, words: int | None, rotations: int, height: float | None, seed: int) -> DataFrame:
     """Spanning links ``a, b`` between the ``uid`` of written ``vectors(uid, embedding)`` that meet in a filter."""
-    options = (words, rotations, height, seed)
+    number = vectors.count()
+
+    def options(x: np.ndarray) -> tuple[int, int, float, int]:
+        by_size = filters_for(number, cosine, x.shape[1])
+        return words or by_size[0], rotations, height or by_size[1], seed
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, x in unit_rows(batch, "embedding"):
-                found, n = np.unique(np.concatenate(decode(x, *options)), return_counts=True)
+                found, n = np.unique(np.concatenate(decode(x, *options(x))), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["filter", "n"])
 
     def pass_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uid = batch["uid"].to_numpy()
             for start, x in ((at[i : i + 500], x[i : i + 500]) for at, x in unit_rows(batch, "embedding") for i in range(0, len(at), 500)):
-                found = decode(x, *options)
+                found = decode(x, *options(x))
                 scale = np.abs(x).max(axis=1) / 127
                 small = np.rint(x / scale[:, None]).astype(np.int8)
                 error = np.linalg.norm(x - small * scale[:, None], axis=1)
@@ -275,7 +306,7 @@ def count_links(members: DataFrame, cosine: float) -> DataFrame:
 
 
 def near_duplicate_vectors(
-    rows: DataFrame, cosine: float = 0.9, words: int = 1024, rotations: int = 3, height: float = 3.6, seed: int = 7
+    rows: DataFrame, cosine: float = 0.9, words: int | None = None, rotations: int = 3, height: float | None = None, seed: int = 7
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of each row of ``rows(vec_id, embedding)``.
 
@@ -288,7 +319,8 @@ def near_duplicate_vectors(
     plain = rows.select("vec_id", F.when(is_vector(F.col("embedding")), F.col("embedding")).alias("embedding"))
     groups = plain.filter("embedding IS NOT NULL").groupBy("embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
     vectors = write_and_reread(groups.withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    labels = components(filter_links(vectors, cosine, words, rotations, height, seed)).withColumnRenamed("node", "uid")
+    links = filter_links(vectors, cosine, words, rotations, height, seed)
+    labels = components(links).withColumnRenamed("node", "uid")
     members = write_and_reread(vectors.join(labels, "uid"), "components")
     least = members.groupBy("label").agg(F.min("least").alias("component_id"))
     counted = count_links(members, cosine).join(members.select("uid", "label"), "uid").join(least, "label").select("uid", "links", "component_id")
@@ -297,7 +329,10 @@ def near_duplicate_vectors(
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.when(F.col("links").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    out = plain.join(found, "embedding", "left")
+    # Rows without a usable vector have nothing to look up, and as nulls they would all meet in one task.
+    usable = F.col("embedding").isNotNull()
+    without = plain.filter(~usable).select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast(dict(plain.dtypes)["vec_id"]).alias("component_id"))
+    out = plain.filter(usable).join(found, "embedding").select("vec_id", "n_links", "component_id").unionByName(without)
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
         "vec_id",

@@ -83,6 +83,40 @@ def test_recall_at_the_threshold():
     assert np.mean(met) >= 0.999
 
 
+@pytest.mark.parametrize("dims, vectors", [(8, 50_000), (64, 50_000), (768, 50_000), (8, 2_000_000), (64, 2_000_000), (768, 2_000_000)])
+def test_recall_in_other_dimensions_and_larger_tables(dims, vectors):
+    """Pairs with cosine 0.9 share a filter also in short and long vectors and among the narrower filters of a larger table."""
+    random = np.random.default_rng(dims)
+    x = random.standard_normal((400, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = random.standard_normal(x.shape)
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    words, height = module.filters_for(vectors, 0.9, dims)
+    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(decode(x, words, 3, height, 7), decode(y, words, 3, height, 7), strict=True)]
+    assert np.mean(met) >= 0.99
+
+
+def test_comparisons_a_vector_do_not_grow_with_the_table():
+    """Expected pairs for random vectors: the filters of one vector, each times what a filter holds of all the others."""
+    random = np.random.default_rng(11)
+    x = random.standard_normal((200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    compared = {}
+    for vectors in (2_000, 50_000, 400_000, 3_200_000):
+        words, height = module.filters_for(vectors, 0.9, 64)
+        passed = np.mean([len(f) for f in decode(x, words, 3, height, 7)])
+        compared[vectors] = passed * vectors * passed / (3 * words**2)
+    assert compared[2_000] < compared[50_000] < 2000
+    assert compared[3_200_000] < 1.5 * compared[50_000] and compared[400_000] < 1.5 * compared[50_000]
+
+
+def test_unusable_vectors_do_not_meet_in_one_task(spark):
+    rows = spark.range(4000).selectExpr("id vec_id", "cast(null as array<float>) embedding", "'a' label", "'b' uid", "'c' n_links")
+    found = near_duplicate_vectors(rows.repartition(8))
+    assert found.rdd.glom().map(len).collect().count(4000) == 0 and found.where("kept AND n_links = 0").count() == 4000
+
+
 def test_decode_lists_exactly_the_filters_above_the_threshold():
     x = np.random.default_rng(2).standard_normal((5, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
