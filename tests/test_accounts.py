@@ -400,3 +400,28 @@ def test_unique_rows_are_not_shuffled(spark):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in anti and "SortMergeJoin" not in plan
     # The branch of the unique rows reads the digest and the column asked for, and is added up before any exchange.
     assert plan.count("Exchange hashpartitioning") == 1 and "ReadSchema: struct<id:bigint,_digest:bigint>" in plan, semi
+
+
+def test_command_line(tmp_path, capsys, monkeypatch):
+    from skyledger import __main__ as command
+
+    write_lines(tmp_path / "1.csv", LINES[:6])
+    write_lines(tmp_path / "2.csv", LINES[6:])
+    monkeypatch.setattr(command, "build_session", lambda name: None)
+    calls = []
+    monkeypatch.setattr(command, "run_job", lambda spark, *a: calls.append(("run", *a)) or {"lines": 7, "bad month": 0})
+    monkeypatch.setattr(command, "merge_job", lambda spark, *a: calls.append(("merge", *a)))
+    monkeypatch.setattr(command, "state_job", lambda spark, *a: calls.append(("state", *a)))
+    monkeypatch.setattr(command, "build_session", lambda name: type("Session", (), {"stop": lambda self: None})())
+    paths = ["--input_path", "in", "--output_path", "out"]
+    command.main(["ranking_sql", *paths, "--rejects_path", "bad"])
+    command.main(["route_stats_arr", *paths, "--state_path", "st", "--batch", "d1"])
+    assert calls == [
+        ("run", "ranking_sql", "in", "out", None, None, "bad"),
+        ("merge", "route_stats_arr", "in", "st", "d1"),
+        ("state", "route_stats_arr", "st", "out", None),
+    ]
+    assert capsys.readouterr().out == "lines: 7\n"
+    for wrong in (["ranking_sql", *paths, "--state_path", "s", "--batch", "b"], ["route_stats_arr", *paths, "--batch", "b"]):
+        with pytest.raises(SystemExit):
+            command.main(wrong)
