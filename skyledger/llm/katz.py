@@ -9,7 +9,8 @@ context's probabilities add up to one.
 Work goes by blocks of documents of some megabytes. A block keeps its texts as numbers into its own
 vocabulary. It sends its distinct words, and then its distinct pairs, as sorted 64-bit hashes
 with its counts, cut by ranges of the hash; each range is summed in one task, which stores its part of
-the model's table and answers the block with the totals. Since a block sends each key once, a
+the model's table and answers the block with the totals. A block also asks for each context's backoff weight once, naming the documents that
+need it. Since a block sends each key once, a
 frequent word or pair is no heavier than a rare one. Two of n keys share a hash with a
 chance of n * n / 2**65.
 """
@@ -296,8 +297,16 @@ def katz_scores(docs: DataFrame, train: Column) -> DataFrame:
     name = f"katz_blocks_{uuid.uuid4().hex}"
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Bucketed, so that only the answers move when they are joined with their blocks.
-    make_blocks(docs, train).write.format("parquet").bucketBy(buckets, "block").option("path", folder).saveAsTable(name)
-    blocks = spark.table(name)
+    try:
+        make_blocks(docs, train).write.format("parquet").bucketBy(buckets, "block").option("path", folder).saveAsTable(name)
+        return _scores(spark.table(name))
+    finally:  # only its name goes; the files stay, which the result is read from
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _scores(blocks: DataFrame) -> DataFrame:
+    """See ``katz_scores``."""
+    kind = dict(blocks.dtypes)["doc_id"].removeprefix("array<")[:-1]
     word_totals, pair_totals = sum_counts(blocks, pairs=False), sum_counts(blocks, pairs=True)
     words, pairs = _discount(word_totals), _discount(pair_totals)
 
@@ -345,28 +354,29 @@ def katz_scores(docs: DataFrame, train: Column) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": pa.array(np.full(n_docs, number)),
-                        "row": pa.array(np.arange(n_docs)),
+                        "rows": pa.ListArray.from_arrays(np.arange(n_docs + 1, dtype=np.int32), pa.array(np.arange(n_docs))),
+                        "times": pa.ListArray.from_arrays(np.arange(n_docs + 1, dtype=np.int32), pa.array(np.zeros(n_docs, dtype=np.int64))),
                         "context": pa.array(np.arange(n_docs) * 1_000_003 + number),
                         "asks": pa.array(np.zeros(n_docs, dtype=bool)),
-                        "times": pa.array(np.zeros(n_docs, dtype=np.int64)),
                         "doc_id": ids,
                         "train": pa.array(b.train),
                         "n_tokens": pa.array(b.sizes.astype(np.int64)),
                         **{k: pa.array(v.astype(np.int64 if k == "n_known" else np.float64)) for k, v in values.items()},
                     }
                 )
-                # contexts that must back off, by document; a context that training lacks has weight 1
+                # contexts that must back off, each with its documents; a context that training lacks has weight 1
                 open_tokens = np.flatnonzero(~seen & (s.count[b.context] > 0))
-                asked = b.document[open_tokens].astype(np.int64) * len(b.vocabulary) + b.context[open_tokens]
+                asked = b.context[open_tokens].astype(np.int64) * n_docs + b.document[open_tokens]
                 asked, times = np.unique(asked, return_counts=True)
-                n = len(asked)
+                context, first = np.unique(asked // n_docs, return_index=True)
+                cuts, n = np.append(first, len(asked)).astype(np.int32), len(context)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": pa.array(np.full(n, number)),
-                        "row": pa.array(asked // len(b.vocabulary)),
-                        "context": pa.array(b.vocabulary[asked % len(b.vocabulary)].view(np.int64)),
+                        "rows": pa.ListArray.from_arrays(cuts, pa.array(asked % n_docs)),
+                        "times": pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64))),
+                        "context": pa.array(b.vocabulary[context].view(np.int64)),
                         "asks": pa.array(np.ones(n, dtype=bool)),
-                        "times": pa.array(times.astype(np.int64)),
                         "doc_id": pa.nulls(n, ids.type),
                         "train": pa.nulls(n, pa.bool_()),
                         "n_tokens": pa.nulls(n, pa.int64()),
@@ -376,10 +386,10 @@ def katz_scores(docs: DataFrame, train: Column) -> DataFrame:
                     }
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"block long, row long, context long, asks boolean, times long, doc_id {kind}, train boolean, n_tokens long, n_known long, base double, part double"
+    schema = f"block long, rows array<long>, times array<long>, context long, asks boolean, doc_id {kind}, train boolean, n_tokens long, n_known long, base double, part double"
     scored = arrow_map(told, score, schema).join(weights.withColumn("asks", F.lit(True)), ["context", "asks"], "left")
-    spark.sql(f"DROP TABLE {name}")  # the files stay, which the result is read from
+    each = F.explode(F.arrays_zip(F.col("rows").alias("row"), F.col("times").alias("times"))).alias("each")
+    scored = scored.drop("context", "asks").withColumn("each", each).withColumns({"row": F.col("each.row"), "times": F.col("each.times")})
     sums = scored.groupBy("block", "row").agg(
         *[F.max(c).alias(c) for c in ("doc_id", "train", "n_tokens", "n_known")],
         F.max("base").alias("base_score"),

@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +46,41 @@ READING = 0.55
 #: Letters put into the words of the training copies; one in every gap if there are fewer gaps.
 COPIES = (1, 3, 10**6)
 _STOPS = (b".", b"!", b"?")
-#: Second UTF-8 bytes of accented Latin letters, each with the plain letter; their first byte goes.
+#: Second UTF-8 bytes, after C3, of accented Latin letters, each with the plain letter; the first byte goes.
 _ACCENTS = {"a": range(0xA0, 0xA6), "c": [0xA7], "e": range(0xA8, 0xAC), "i": range(0xAC, 0xB0), "n": [0xB1], "o": range(0xB2, 0xB7), "u": range(0xB9, 0xBD), "s": [0x9F]}
 _PLAIN = {b - shift: ord(letter) for letter, found in _ACCENTS.items() for b in found for shift in (0, 0x20) if b != 0x9F or not shift}
 _LIKE = dict(zip(b"0134@57", b"oieaast", strict=True))
+#: Letters of the kernel's alphabet that are no Latin letters, and bytes that never stand in UTF-8 to write them with meanwhile.
+OTHERS = b"{|}~\x7f"
+_PLAIN |= {0xF8 + i: c for i, c in enumerate(OTHERS)}
 _FOLD = bytes(_LIKE.get(c, c) if c < 128 else _PLAIN.get(c, ord("{")) for c in range(256))
 _DROP = bytes(c for c in range(128) if not chr(c).isalpha() and chr(c) not in " \t\n\r\v\f0134@57") + b"\xc3"
+#: Characters in UTF-8 that aren't ASCII or begin with C3.
+_OTHER = re.compile(rb"[\xc2\xc4-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
+
+
+@lru_cache(maxsize=100_000)
+def _other(character: bytes) -> bytes:
+    """A Latin letter without its accent, two of ``OTHERS`` for a letter of another script, a blank for a blank, nothing for a mark."""
+    text = character.decode()
+    if text.isspace():
+        return b" "
+    plain = unicodedata.normalize("NFD", text.lower())[0]
+    if plain.isascii() and plain.isalpha():
+        return plain.encode()
+    if not text.isalpha():
+        return b""
+    number = zlib.crc32(plain.encode())
+    return bytes([0xF8 + number % len(OTHERS), 0xF8 + number // len(OTHERS) % len(OTHERS)])
 
 
 def fold(data: bytes) -> bytes:
-    """Lower-case letters and white space only: accents and marks go, look-alike digits become letters, other scripts ``{``."""
+    """Lower-case letters and white space only: accents and marks go, look-alike digits become letters.
+
+    A letter of another script becomes two of five more letters by a hash of its code point, so that words of that script
+    have subsequences of their own.
+    """
+    data = _OTHER.sub(lambda found: _other(found[0]), data)
     return data.lower().translate(_FOLD, _DROP)
 
 
@@ -123,7 +150,7 @@ def kernel(a: bytes, b: bytes) -> float:
 
 
 def _codes(data: bytes) -> np.ndarray:
-    """a-z as 1 to 26, ``{`` as 27, separators as 0."""
+    """a-z as 1 to 26, ``OTHERS`` as 27 to 31, separators as 0."""
     raw = np.frombuffer(data, dtype=np.uint8).astype(np.int32)
     return np.where(raw >= 97, raw - 96, 0)
 

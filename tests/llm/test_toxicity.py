@@ -60,6 +60,19 @@ def test_folding():
     assert sentences("One i.d.iot. Two!\nthree? four") == [[b"one", b"idiot"], [b"two"], [b"three"], [b"four"]]
 
 
+def test_other_scripts():
+    """Marks go, accents of any Latin letter go, and unlike words of another script stay unlike."""
+    assert fold("«mot»\u00a0– “ici”… š Ž\u2003ő œ½".encode()).split()[:5] == [b"mot", b"ici", b"s", b"z", b"o"]
+    words = "идиот дурак хорошо погода ненависть ηλίθιος καλημέρα".split()
+    folded = [fold(w.encode()) for w in words]
+    assert fold("ИДИОТ".encode()) == folded[0] and set(b"".join(folded)) <= set(module.OTHERS)
+    unlike = [kernel(a, b) for a, b in itertools.combinations(folded, 2)]
+    assert max(unlike) < 0.2 and np.mean(unlike) < 0.05 and kernel(folded[0], fold("идииот".encode())) > 0.3
+    near = Landmarks([folded[0]])
+    near.learn(set(folded))
+    assert near.value(folded[0]) == pytest.approx(1.0)
+
+
 def text_of(i, toxic):
     body = prose(i, 30 + i % 90).split(" ")
     if toxic:
