@@ -55,7 +55,8 @@ OTHERS = b"{|}~\x7f"
 _PLAIN |= {0xF8 + i: c for i, c in enumerate(OTHERS)}
 _FOLD = bytes(_LIKE.get(c, c) if c < 128 else _PLAIN.get(c, ord("{")) for c in range(256))
 _DROP = bytes(c for c in range(128) if not chr(c).isalpha() and chr(c) not in " \t\n\r\v\f0134@57") + b"\xc3"
-#: Characters in UTF-8 that aren't ASCII or begin with C3.
+#: Characters in UTF-8 that aren't ASCII and don't begin with C3, and what tells quickly that a text has one.
+_SOME_OTHER = re.compile(rb"[\xc2\xc4-\xf4]")
 _OTHER = re.compile(rb"[\xc2\xc4-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 
 
@@ -80,7 +81,8 @@ def fold(data: bytes) -> bytes:
     A letter of another script becomes two of five more letters by a hash of its code point, so that words of that script
     have subsequences of their own.
     """
-    data = _OTHER.sub(lambda found: _other(found[0]), data)
+    if not data.isascii() and _SOME_OTHER.search(data):
+        data = _OTHER.sub(lambda found: _other(found[0]), data)
     return data.lower().translate(_FOLD, _DROP)
 
 
