@@ -9,9 +9,11 @@ records can't do.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .flights import DIALECT
@@ -23,10 +25,11 @@ MOST_CUTS = 1_000_000
 PIECES = "file string, start long, place int, record string"
 
 
-def _pieces(begins_inside: set, whole: bool, longest: int):
+def _pieces(begins_inside: Broadcast[dict[str, set[int]]], whole: bool, longest: int):
     """The records of each split that lie wholly in it, or the pieces of those that don't. Lines come in their order.
 
-    The function takes all it needs with it, as the workers need not have this package.
+    The function takes all it needs with it, as the workers need not have this package; the starts of splits that begin inside
+    quotes are broadcast, so that a worker reads them once and not with each task.
     """
     kinds = {"file": pa.string(), "start": pa.int64(), "place": pa.int32(), "record": pa.string()}
 
@@ -42,7 +45,7 @@ def _pieces(begins_inside: set, whole: bool, longest: int):
                     if held and not whole:  # open at the end of its split
                         out.append((*at, place, "\n".join(held)))
                     at, held, size, place = (file, start), [], 0, 0
-                    odd = piece = at in begins_inside
+                    odd = piece = start in begins_inside.value.get(file, ())
                 held.append(line)
                 size += len(line) + 1
                 odd ^= line.count('"') % 2 == 1
@@ -77,7 +80,11 @@ def read_records(spark: SparkSession, path: str, longest: int = LONGEST) -> Data
     touched = parities.where("begins OR ends").limit(2 * MOST_CUTS + 1).collect()
     if len(touched) > 2 * MOST_CUTS:
         raise ValueError(f"more than {MOST_CUTS} cuts lie inside quotes; use larger splits")
-    inside = {(row.file, row.start) for row in touched if row.begins}
+    begins = defaultdict(set)
+    for row in touched:
+        if row.begins:
+            begins[row.file].add(row.start)
+    inside = spark.sparkContext.broadcast(dict(begins))
     whole = lines.mapInArrow(_pieces(inside, True, longest), PIECES).select("file", "record")
     if touched:
         beside = F.broadcast(spark.createDataFrame([(r.file, r.start, r.begins) for r in touched], "file string, start long, begins boolean"))

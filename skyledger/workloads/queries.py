@@ -126,7 +126,11 @@ def resolve_by_layout(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def scan_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Notes with line breaks, quotes and commas in quotes, in files that are cut every 64 kB."""
+    """Notes with line breaks, quotes and commas in quotes, in files that are cut every 64 kB.
+
+    A task reads many of these cuts, as many tasks as would read the files uncut: a task of its own for each costs more than
+    its lines do.
+    """
     path = scratch_folder(spark, "quoted")
     raw = voli_raw(spark, folder)
     breaks = F.when(F.col("month") == "7", F.lit("\n")).when(F.col("month") == "3", F.lit('"\n\n, "')).otherwise(F.lit(" to "))
@@ -135,6 +139,7 @@ def scan_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
     cut = spark.newSession()
     cut.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 16))
     cut.conf.set("spark.sql.files.openCostInBytes", "0")
+    cut.conf.set("spark.sql.files.maxPartitionNum", str(max(1, spark.read.text(path).rdd.getNumPartitions())))
     found = scratch_folder(spark, "records")
     schema = "op_unique_carrier string, note string, dep_delay string"
     sources.read_quoted_csv(cut, path, schema).write.parquet(found)

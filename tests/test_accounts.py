@@ -9,6 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from hand import HAND_CSV
@@ -31,7 +32,8 @@ from skyledger.plans import (
     state_report,
 )
 from skyledger.schema import FLIGHT_COLUMNS, PAIR_KEYS
-from skyledger.sources import layouts
+from skyledger.sources import layouts, records
+from skyledger.workloads.queries import QUERIES
 
 HEADER = list(FLIGHT_COLUMNS)
 LINES = [
@@ -374,6 +376,43 @@ def test_quoted_csv(spark, tmp_path):
     assert sorted(map(tuple, sources.read_quoted_csv(spark, str(tmp_path / "t"), "n string, t string, u string").collect())) == rows
 
 
+def test_many_cuts_to_a_task(spark, tmp_path):
+    """A file cut every 64 kB is read by as many tasks as would read it whole, with the same records."""
+    n = 40_000
+    tables = {
+        "lineitem": f"""select id l_orderkey, 50L l_partkey, 1L l_suppkey, 1 l_linenumber, 1D l_quantity, 'N' l_returnflag, 'O' l_linestatus,
+            timestamp_ntz'2024-01-09' l_shipdate from range({n})""",
+        "orders": f"select id o_orderkey, 1L o_custkey, make_timestamp_ntz(2024, cast(1 + id % 12 as int), 3, 0, 0, 0) o_orderdate from range({n})",
+        "customer": "select 1L c_custkey, 1 c_nationkey",
+        "supplier": "select 1L s_suppkey, 1 s_nationkey",
+        "nation": "select 1 n_nationkey, 'PERU' n_name",
+        "part": "select 50L p_partkey, 'B1' p_brand",
+    }
+    for name, rows in tables.items():
+        spark.sql(rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = QUERIES["scan_quoted_breaks"](spark, str(tmp_path))
+    notes = dict(found.groupBy("note").count().collect())
+    month = Counter("x" if i % 101 == 1 else "" if i % 101 == 2 else "month" if i % 101 == 3 else str(1 + i % 12) for i in range(n))
+    broken = {"7": "from PERU\nPERU", "3": 'from PERU"\n\n, "PERU', "5": 'from PERU to PERU\n"'}
+    expected = {broken[m]: month.pop(m) for m in broken}
+    assert notes == expected | {"from PERU to PERU": sum(month.values())}
+    assert len(found.inputFiles()) <= 8 + 1  # a file for each task, and one for the records that cross cuts
+
+
+def test_cuts_inside_quotes_are_not_sent_with_each_task(spark, tmp_path, monkeypatch):
+    """They are many in a large file; a broadcast is read once by each worker."""
+    told, pieces = [], records._pieces
+
+    def spy(inside, *rest):
+        told.append(inside)
+        return pieces(inside, *rest)
+
+    monkeypatch.setattr(records, "_pieces", spy)
+    (tmp_path / "a.csv").write_text('1,"a\nb"\n' * 200)
+    assert {r.record for r in records_of(spark, tmp_path / "a.csv", 16).collect()} == {'1,"a\nb"'}
+    assert told and all(isinstance(inside, Broadcast) and list(map(len, inside.value.values()))[0] > 50 for inside in told)
+
+
 # ---- distinct rows by digest
 
 
