@@ -111,6 +111,14 @@ def test_accounted_reads_the_files_once(spark, tmp_path):
         assert all("a.csv" not in file for file in frame.inputFiles())
 
 
+def test_accounted_lines_are_not_parted_by_a_sort(spark, tmp_path):
+    """Written into a folder each for kept lines and rejects, all lines of a task would be sorted in memory first."""
+    account = sources.read_accounted(spark, write_lines(tmp_path / "a.csv", LINES))
+    files = account.flights.inputFiles()
+    assert sorted(files) == sorted(account.rejects.inputFiles()) != []
+    assert not any("rejected=" in file for file in files)
+
+
 def test_accounted_without_lines(spark, tmp_path):
     account = sources.read_accounted(spark, write_lines(tmp_path / "a.csv", [], HEADER))
     assert (account.lines, sum(account.reasons.values()), account.flights.count(), account.rejects.count()) == (1, 1, 0, 1)
