@@ -82,14 +82,17 @@ class Encoder:
         joined = "".join(self.model.encode(" zq", add_special_tokens=False).tokens)
         return joined[: joined.index("zq")]
 
-    def _word(self, letters: str, led: str) -> bytes:
-        """Ids of ``led`` (a space or nothing) and letters: the model's merges alone, on the vocabulary's spelling."""
+    def _word(self, letters: str, led: str) -> bytes | None:
+        """Ids of ``led`` (a space or nothing) and letters: the model's merges alone, on the vocabulary's spelling.
+
+        None if the spelling holds more than letters, as that of a dotted capital I does: what follows may belong to it.
+        """
         plain = letters
         if self.normalize is not None:
             plain = letters.lower() if letters.isascii() else self.normalize(letters)
         if not plain.isascii():
             if not plain.isalpha():
-                return self.ids(led + letters)
+                return None
             plain = plain.encode().decode("latin-1").translate(self.letters)
         return array("I", [token.id for token in self.merge(self.prefix + plain if led else plain)]).tobytes()
 
@@ -109,19 +112,22 @@ class Encoder:
         if led and "\n" in part:
             return self._lines(part, led)
         word = _WORD.fullmatch(part)
-        if word is None:
-            key = led + part
-            ids = self.others.get(key)
+        if word is not None:
+            letters = word[1] if led else " " + word[1]
+            ids = self.words.get(letters)
             if ids is None:
-                ids = self.ids(key) if part and not part[0].isspace() and not part[-1].isspace() else _UNCUT
-                self.others[key] = ids
-            return ids
-        letters = word[1] if led else " " + word[1]
-        ids = self.words.get(letters)
+                ids = self.older.get(letters)
+                ids = self._word(word[1], led) if ids is None else ids
+                if ids is not None:
+                    self.words[letters] = ids
+            if ids is not None:
+                return ids + self._marks(word[2]) if word[2] else ids
+        key = led + part
+        ids = self.others.get(key)
         if ids is None:
-            ids = self.older.get(letters)
-            self.words[letters] = ids = self._word(word[1], led) if ids is None else ids
-        return ids + self._marks(word[2]) if word[2] else ids
+            ids = self.ids(key) if part and not part[0].isspace() and not part[-1].isspace() else _UNCUT
+            self.others[key] = ids
+        return ids
 
     def _lines(self, part: str, led: str) -> bytes:
         """Ids of a part with line breaks in it, which is seldom met again as a whole."""

@@ -32,6 +32,15 @@ def test_cut_texts_encode_like_whole_ones(name, parts):
     assert np.frombuffer(encode([text, None])[0], "<u4").tolist() == whole_ids(name, text)
 
 
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("word", ["İ", "aİ", "İa", "²", "ß"])
+def test_marks_after_letters_of_more_than_one_sign(name, word):
+    """A dotted capital I in lower case ends with a mark, which goes together with punctuation after it."""
+    encode = Encoder(tokenizer_path(name))
+    for text in [f"{word}.", f"x {word}...", f"x\n{word}*,", f"{word} {word}. {word}", f"{word}!\n{word}"] * 2:
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == whole_ids(name, text)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_control_tokens(name):
     """Spelt out in a text they are the control tokens' ids, wherever they stand."""
